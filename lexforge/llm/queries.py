@@ -6,22 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import ann, exact_dedup, langid, packing, toxicity
 from ._common import table
 from .bpe import bpe_round_trip
 from .token_count import token_counts
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity_scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(table(spark, sf_dir, "documents"))
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.language_id(docs, langid.fit(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op5_token_count": op5_token_count}
+    """By name, in the order of their numbers."""
+    found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
+    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_exact_dedup": exact_dedup.ORACLE}
