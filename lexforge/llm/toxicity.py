@@ -35,7 +35,10 @@ MAX_EXAMPLES = 15_000
 MAX_TERMS = 8_000
 NEIGHBOURS = 15
 BLOCK = 64
-PREFIX = 5
+#: Lengths of the beginnings of words that can be terms, the longest tried first.
+PREFIXES = (6, 5, 4)
+#: Words whose term a worker remembers.
+WORD_CACHE = 300_000
 #: A document is predicted toxic from this score on.
 THRESHOLD = 0.7
 #: Added to a neighbour's distance before it is inverted.
@@ -48,18 +51,23 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def lower_share(hits: int, total: int, z: float = 2.58) -> float:
+def lower_share(hits: int, total: int, z: float = 1.96) -> float:
     """Lower end of the Wilson interval of a share."""
     p = hits / total
     return (p + z * z / 2 / total - z * math.sqrt(p * (1 - p) / total + z * z / 4 / total / total)) / (1 + z * z / total)
 
 
+def copy_key(words: Counter) -> int:
+    """A number that near copies mostly share: the smallest hash among the words that are too long to be common ones."""
+    return min(map(xxhash.xxh64_intdigest, [w for w in words if len(w) > 7] or words), default=0)
+
+
 class ToxicityModel:
     def __init__(self, ids: list[int], texts: list[str], labels: list[int], k: int = NEIGHBOURS):
         self.k, self.n = k, len(ids)
         self.prior = float(np.mean(labels)) if labels else 0.0
         counted = [Counter(words_of(t)) for t in texts]
-        group = [min((xxhash.xxh64_intdigest(w) for w in c), default=0) for c in counted]  # near copies mostly share it
+        group = [copy_key(c) for c in counted]
         self._choose_terms(counted, group, labels)
         rows = [self.vector(c) for c in counted]
         order = sorted(range(self.n), key=lambda i: (labels[i], len(rows[i][0]), rows[i][0][:1].tolist(), i))
@@ -68,6 +76,7 @@ class ToxicityModel:
         self.group = np.array([group[i] for i in order], np.uint64)
         self._build_index([rows[i] for i in order])
         self.slope, self.shift = 1.0, 0.0
+        self.known: dict[str, int] = {}
         self.plain: dict[int, tuple] = {}
         if self.n:
             self._calibrate([rows[i] for i in order])
@@ -79,7 +88,7 @@ class ToxicityModel:
                 continue
             seen.add(g)
             n += 1
-            terms = {*c, *(w[:PREFIX] + "*" for w in c if len(w) > PREFIX)}
+            terms = {*c, *(w[:n] + "*" for n in PREFIXES for w in c if len(w) > n)}
             df.update(terms)
             if y:
                 toxic.update(terms)
@@ -87,14 +96,20 @@ class ToxicityModel:
         self.terms = {t: i + 1 for i, (_, t) in enumerate(sorted(best))}  # 0: all other words
         self.idf = np.array([1.0, *(1 + math.log((n + 1) / (df[t] + 1)) for _, t in sorted(best))])
 
+    def term(self, word: str) -> int:
+        """The term of a word: itself, its longest beginning among the terms, or 0."""
+        t = self.terms.get(word)
+        for n in PREFIXES:
+            if t is None and len(word) > n:
+                t = self.terms.get(word[:n] + "*")
+        return t or 0
+
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and weights of unit length; empty without words."""
         tf: dict[int, int] = {}
         for w, n in counts.items():
-            t = self.terms.get(w)
-            if t is None and len(w) > PREFIX:
-                t = self.terms.get(w[:PREFIX] + "*")
-            tf[t or 0] = tf.get(t or 0, 0) + n
+            t = self.term(w)
+            tf[t] = tf.get(t, 0) + n
         terms = np.array(sorted(tf), np.int64)
         weights = self.idf[terms] * (1 + np.log([tf[t] for t in terms.tolist()])) if len(terms) else np.zeros(0)
         norm = np.linalg.norm(weights)
@@ -172,13 +187,16 @@ class ToxicityModel:
         """Probability, neighbours and their cosines."""
         if not self.n:
             return 0.0, np.zeros(0, np.int64), np.zeros(0)
-        telling, other = Counter(), 0
-        get, words = self.terms.get, words_of(text)
-        for w in words:
-            if (t := get(w)) is not None or len(w) > PREFIX and (t := get(w[:PREFIX] + "*")) is not None:
-                telling[t] += 1
-            else:
-                other += 1
+        words, known = words_of(text), self.known
+        found = list(map(known.get, words))
+        if None in found:
+            for i, t in enumerate(found):
+                if t is None:
+                    found[i] = t = self.term(words[i])
+                    if len(known) < WORD_CACHE:
+                        known[words[i]] = t
+        telling = Counter(filter(None, found))
+        other = len(words) - telling.total()
         if not telling and other:
             if 0 not in self.plain:
                 self.plain[0] = self._scored(np.zeros(1, np.int64), np.ones(1))
