@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, exact_dedup, langid, packing, toxicity
+from . import ann, exact_dedup, langid, ngram_join, packing, toxicity
 from ._common import table
 from .bpe import bpe_round_trip
 from .token_count import token_counts
@@ -33,6 +33,10 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
