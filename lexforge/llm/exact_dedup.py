@@ -45,6 +45,8 @@ class DigestIndex:
 
 
 def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if "digest" not in t.column_names:  # a side without rows comes without columns
+        return np.zeros((0, 32), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
     digests = np.frombuffer(b"".join(t.column("digest").to_pylist()), np.uint8).reshape(-1, 32)
     keep = t.column("keep_id").fill_null(NO_ID).to_numpy()
     return digests, keep, t.column("group_size").to_numpy()

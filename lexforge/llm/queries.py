@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, exact_dedup, langid, ngram_join, packing, suffix_dedup, toxicity
+from . import ann, exact_dedup, langid, line_dedup, ngram_join, packing, suffix_dedup, toxicity
 from ._common import table
 from .bpe import bpe_round_trip
 from .token_count import token_counts
@@ -37,6 +37,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
 

@@ -287,30 +287,49 @@ def repeat_spans(texts: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUN
     return whole.unionByName(some).unionByName(rest)
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row and, if asked for, the text that is left.
-
-    Bytes that no longer form whole characters (a repeat may begin inside one) become replacement characters in the text
-    left, not in the checksum.
-    """
-    texts = id_text(docs, id_col, text_col)
-    spans = cut(repeat_spans(texts.where("doc_id is not null"), length, hot_runs))
+def span_lists(docs: DataFrame, length: int, hot_runs: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, spans) of the documents that have something to remove."""
+    spans = cut(repeat_spans(id_text(docs, id_col, text_col).where("doc_id is not null"), length, hot_runs))
     free_shuffles(docs.sparkSession)
-    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", text string" if with_text else "")
+    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+
+
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    lists = span_lists(docs, length, hot_runs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
             for i, t, found in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 raw = t.as_py().encode()
                 kept, removed, n = remove_spans(raw, found.values if found.is_valid else None, length)
-                for c, v in zip(out, (i, len(raw), removed, n, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if with_text else None)):
+                for c, v in zip(out, (i, len(raw), removed, n, hashlib.sha256(kept).hexdigest())):
                     c.append(v)
-            cols = [pa.array(c, t) for c, t in zip(out, (*[pa.int64()] * 4, pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays(cols[: 6 if with_text else 5], [f.split()[0] for f in schema.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (*[pa.int64()] * 4, pa.string()))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return id_text(docs, id_col, text_col).join(lists, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
-    return texts.join(lists, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+
+def strip_repeats(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with its columns, repeats cut out of the texts; bytes that no longer form whole characters go too."""
+    key, spans = "_suffix_dedup_id", "_suffix_dedup_spans"
+    lists = span_lists(docs, length, hot_runs, id_col, text_col).select(F.col("doc_id").alias(key), F.col("spans").alias(spans))
+    names = docs.columns
+    at = names.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for t, found in zip(b.column(at), b.column(len(names))):
+                t = t.as_py()
+                texts.append(t if t is None or not found.is_valid else remove_spans(t.encode(), found.values, length)[0].decode("utf-8", "ignore"))
+            cols = list(b.columns[: len(names)])
+            cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    joined = docs.join(lists, docs[id_col].cast("long") == F.col(key), "left").select(*(docs[c] for c in names), spans)
+    return joined.mapInArrow(run, docs.schema)
 
 
 def remove_spans(raw: bytes, found: pa.StructArray | None, length: int) -> tuple[bytes, int, int]:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import held_out, held_out_expr, id_text, text_chunks
+from ._common import BATCH_ROWS, held_out, held_out_expr, id_text, text_chunks
 
 #: The bound on the labelled rows a model is fitted on, and on the terms it keeps.
 MAX_EXAMPLES = 15_000
@@ -236,3 +236,17 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, threshold: float = TH
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array([held_out(i) for i in ids], pa.bool_()), "score": pa.array(scores, pa.float64()), "predicted": pa.array([int(s >= threshold) for s in scores], pa.int32()), "evidence": pa.array(evidence, kind)})
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, toxic: int>>")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they were, whose score is below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            yield b.filter(pa.array([m.score(t.as_py() or "")[0] < threshold for t in b.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
