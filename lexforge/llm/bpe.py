@@ -330,17 +330,18 @@ def pieces_to_ids(texts: list[str], cache: dict[str, bytes], encode_new, encode_
         pieces.append("\0" + first)  # the first one has no space before it
         pieces += rest
         spans.append((k, begin, len(pieces)))
-    values = list(map(cache.get, pieces))
+    values, odd = list(map(cache.get, pieces)), False
     if missing := [i for i, v in enumerate(values) if v is None]:
         new = list({pieces[i] for i in missing})
         plain = [p for p in new if p and p != "\0" and not (p[0] == "\0" and p[1].isspace() or p[0].isspace())]
+        odd = len(plain) < len(new)
         found = dict(zip(plain, encode_new([p[1:] if p[0] == "\0" else " " + p for p in plain])))
         for i in missing:
             values[i] = found.get(pieces[i])
         refresh(cache, found, len(missing), len(pieces))
     for k, a, b in spans:
         part = values[a:b]
-        out[k] = encode_whole(texts[k]) if None in part else b"".join(part)
+        out[k] = encode_whole(texts[k]) if odd and None in part else b"".join(part)
     return out
 
 
