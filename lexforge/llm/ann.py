@@ -130,6 +130,8 @@ def nearest_neighbours(df: DataFrame, k: int = 20, query_every: int = 20, id_col
         found = search_block(*read(rows_), *read(queries), k, trees, share)
         return pa.table({name: np.concatenate([f[i] for f in found]) for i, name in enumerate(empty)})
 
+    # columns of the two sides must not be the same attributes: a cogroup of those loses some
+    left, right = (d.select(*(F.col(c).alias(c) for c in d.columns)) for d in (left, right))
     hits = left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInArrow(run, HITS)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

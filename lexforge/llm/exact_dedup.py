@@ -45,7 +45,7 @@ class DigestIndex:
 
 
 def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if "digest" not in t.column_names:  # a side without rows comes without columns
+    if not t.num_rows:
         return np.zeros((0, 32), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
     digests = np.frombuffer(b"".join(t.column("digest").to_pylist()), np.uint8).reshape(-1, 32)
     keep = t.column("keep_id").fill_null(NO_ID).to_numpy()
@@ -88,13 +88,12 @@ def digest_groups(rows: DataFrame, shards: int) -> DataFrame:
 def text_groups(docs: DataFrame, history: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """digest, keep_id, group_size of every distinct text of history and docs together."""
     shards = power_of_two(docs.count() / SHARD_ROWS, 64)
-    rows = digests_of(docs, id_col, text_col)
     if history is None:
-        early: Column = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(2)) == 0
-        old, new = rows.where(early), rows.where(~early)
-    else:
-        old, new = digests_of(history, id_col, text_col), rows
-    old, new = digest_groups(old, shards), digest_groups(new, shards)
+        early: Column = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(2)) == 0
+        history, docs = docs.where(early), docs.where(~early)
+    old, new = (digest_groups(digests_of(d, id_col, text_col), shards) for d in (history, docs))
+    # columns of the two sides must not be the same attributes: a cogroup of those loses some
+    old, new = (d.select(*(F.col(c).alias(c) for c in d.columns)) for d in (old, new))
     return old.groupBy("shard").cogroup(new.groupBy("shard")).applyInArrow(resolve_shard, GROUPS)
 
 
