@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ._common import cut, id_text, power_of_two, text_chunks
-from .bpe import pieces_to_ids
+from .bpe import encoder
 
 #: Pieces of one (length, bucket) group on average at most; groups are ordered inside one task.
 GROUP_ROWS = 20_000
@@ -32,42 +32,11 @@ GROUP_ROWS = 20_000
 PIECES = "doc_id long, bucket int, piece int, start long, length int, ids_crc32 long"
 
 
-class LibraryEncoder:
-    """The tokenizers library behind the cache of pieces."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.pieces: dict[str, bytes] = {}
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 5_000):
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts[i : i + 5_000], add_special_tokens=False)]
-        return out
-
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        return pieces_to_ids(texts, self.pieces, self.encode_many, lambda t: self.encode_many([t])[0], self.special)
-
-
-_ENCODERS: dict[str, LibraryEncoder] = {}
-
-
-def library_encoder(path: str) -> LibraryEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = LibraryEncoder(path)
-    return _ENCODERS[path]
-
-
 def token_pieces(docs: DataFrame, path: str, size: int, end_id: int, buckets: int, id_col: str, text_col: str) -> DataFrame:
     """Pieces of at most `size` ids of every document, each with its checksum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = library_encoder(path), np.array([end_id], "<u4").tobytes()
+        enc, end = encoder(path), np.array([end_id], "<u4").tobytes()
         for ids, texts in text_chunks(batches):
             cols: list[list] = [[] for _ in range(6)]
             for i, raw in zip(ids, enc.encode_texts(texts)):
