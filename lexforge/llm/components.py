@@ -1,4 +1,4 @@
-"""Connected components by spreading smallest labels over links, all in DataFrames."""
+"""Connected components by contraction, all in DataFrames."""
 
 from __future__ import annotations
 
@@ -11,22 +11,32 @@ from ._common import cut, drop_table
 def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) for every id in links (a, b); a component's name is its smallest id.
 
-    Each round offers every id, and every id that serves as a label, the labels across its links, keeps the smallest
-    and then follows the label's own label. Each round is written to a table, so no lineage grows.
+    In each round every id takes the smallest of its neighbours and itself and then the label of that label. Links are
+    renamed to labels; those inside a label go, so later rounds read only what is still apart. Every round is written
+    to a table, so no lineage grows.
     """
-    both = cut(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("l")))
+    edges = cut(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    labels = None
     for _ in range(rounds):
-        near = labels.select(F.col("id").alias("a"), F.col("l").alias("la"))
-        far = labels.select(F.col("id").alias("b"), F.col("l").alias("lb"))
-        seen = both.join(near, "a").join(far, "b")
-        offers = seen.select(F.col("a").alias("id"), F.col("lb").alias("l")).union(seen.select("la", "lb")).union(labels.select("id", "l"))
-        best = offers.groupBy("id").agg(F.min("l").alias("l"))
-        jump = best.select(F.col("id").alias("l"), F.col("l").alias("ll"))
-        new = cut(best.join(jump, "l").select("id", F.col("ll").alias("l")))
-        changed = new.join(labels.withColumnRenamed("l", "was"), "id").where("l <> was").limit(1).count()
-        drop_table(labels)
-        labels = new
-        if not changed:
+        if edges.isEmpty():
             break
+        ends = edges.select(F.col("a").alias("id"), F.col("b").alias("m")).union(edges.select("b", "a"))
+        hooks = ends.groupBy("id").agg(F.min("m").alias("m")).select("id", F.least("id", "m").alias("l"))
+        on = hooks.select(F.col("id").alias("l"), F.col("l").alias("ll"))
+        step = cut(hooks.join(on, "l").select("id", F.col("ll").alias("l")))
+        left, right = (step.select(F.col("id").alias(c), F.col("l").alias(f"l{c}")) for c in "ab")
+        apart = edges.join(left, "a").join(right, "b").where("la <> lb")
+        apart = cut(apart.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct())
+        if labels is None:
+            labels = step
+        else:
+            via = step.select(F.col("id").alias("l"), F.col("l").alias("ll"))
+            new = cut(labels.join(via, "l", "left").select("id", F.coalesce("ll", "l").alias("l")))
+            drop_table(labels)
+            drop_table(step)
+            labels = new
+        drop_table(edges)
+        edges = apart
+    if labels is None:
+        labels = edges.select(F.col("a").alias("id"), F.col("b").alias("l"))
     return labels.select("id", F.col("l").alias("component"))
