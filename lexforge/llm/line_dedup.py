@@ -190,10 +190,11 @@ def line_classes(texts: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     """(line, class) of the lines that have partners; a class is named after its smallest line."""
     spark = texts.sparkSession
     rows = cut(index_rows(texts, edits, min_chars))
-    heads = rows.groupBy("entry").agg(F.min("line").alias("head"), F.max("line").alias("tail"), F.min("asks").alias("asks"))
-    heads = cut(heads.where("head <> tail and asks = 0").select("entry", "head"))
+    heads = rows.groupBy("entry").agg(F.min("line").alias("head"), F.count("*").alias("n"), F.min("asks").alias("asks"))
+    heads = cut(heads.where("n > 1 and asks = 0").select("entry", "head"))  # a line may fill an entry twice: no link then
     free_shuffles(spark)
-    links = rows.join(heads, "entry").where("line <> head").select(F.col("line").alias("a"), F.col("head").alias("b")).distinct()
+    # both sides grow with the input, so neither is ever broadcast
+    links = rows.join(heads.hint("merge"), "entry").where("line <> head").select(F.col("line").alias("a"), F.col("head").alias("b")).distinct()
     groups = cut(connected_components(links))
     drop_table(rows)
     free_shuffles(spark)
@@ -226,6 +227,7 @@ def line_classes(texts: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
 
     contents = texts.mapInArrow(split_lines, "line long, content string")
     found = cut(contents.join(met, "line").groupBy("task").applyInArrow(compare, "line long, root long, split boolean"))
+    free_shuffles(spark)
     wide = connected_components(found.where("split").select(F.col("line").alias("a"), F.col("root").alias("b")))
     return found.where("not split").select("line", F.col("root").alias("class")).union(wide.select("id", "component"))
 
@@ -253,6 +255,7 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
 
     places = named.mapInArrow(number, "doc_id long, no int, line long").join(classes, "line", "left").select("doc_id", "no", F.coalesce("class", "line").alias("class"))
     places = cut(places)
+    free_shuffles(docs.sparkSession)
     first = places.groupBy("class").agg(F.min(F.struct("doc_id", "no")).alias("head"), F.count("*").alias("n")).where("n > 1")
     later = places.join(first, "class").where(F.struct("doc_id", "no") != F.col("head"))
     gone = later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("no", "class"))).alias("gone"))
