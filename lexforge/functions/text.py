@@ -39,7 +39,7 @@ def text_or_empty(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{S}++|{S}++\z", "")
+    return F.regexp_replace(c, rf"^{S}++|(?<!{S}){S}++\z", "")
 
 
 def lstrip(c: Column) -> Column:
@@ -47,7 +47,7 @@ def lstrip(c: Column) -> Column:
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{S}++\z", "")
+    return F.regexp_replace(c, rf"(?<!{S}){S}++\z", "")
 
 
 def normalize_text(c: Column) -> Column:
