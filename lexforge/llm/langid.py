@@ -141,7 +141,8 @@ class LanguageModel:
 def fit(docs: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("doc_id is not null and text is not null and lang is not null").where(~held_out_expr())
-    got = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "lang").limit(max_rows).toArrow().to_pydict()
+    chosen = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # ids alone are sorted
+    got = rows.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text", "lang").limit(max_rows).toArrow().to_pydict()
     return LanguageModel(got["text"], got["lang"])
 
 
