@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +57,7 @@ def lower_share(hits: int, total: int, z: float = 1.96) -> float:
     return (p + z * z / 2 / total - z * math.sqrt(p * (1 - p) / total + z * z / 4 / total / total)) / (1 + z * z / total)
 
 
-def copy_key(words: Counter) -> int:
+def copy_key(words: Collection[str]) -> int:
     """A number that near copies mostly share: the smallest hash among the words that are too long to be common ones."""
     return min(map(xxhash.xxh64_intdigest, [w for w in words if len(w) > 7] or words), default=0)
 
@@ -66,10 +66,12 @@ class ToxicityModel:
     def __init__(self, ids: list[int], texts: list[str], labels: list[int], k: int = NEIGHBOURS):
         self.k, self.n = k, len(ids)
         self.prior = float(np.mean(labels)) if labels else 0.0
-        counted = [Counter(words_of(t)) for t in texts]
-        group = [copy_key(c) for c in counted]
-        self._choose_terms(counted, group, labels)
-        rows = [self.vector(c) for c in counted]
+        self._choose_terms(texts, labels)
+        rows, group = [], []
+        for t in texts:
+            counts = Counter(words_of(t))
+            rows.append(self.vector(counts))
+            group.append(copy_key(counts))
         order = sorted(range(self.n), key=lambda i: (labels[i], len(rows[i][0]), rows[i][0][:1].tolist(), i))
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
@@ -81,18 +83,29 @@ class ToxicityModel:
         if self.n:
             self._calibrate([rows[i] for i in order])
 
-    def _choose_terms(self, counted: list[Counter], group: list[int], labels: list[int]) -> None:
-        seen, df, toxic, n = set(), Counter(), Counter(), 0
-        for c, g, y in zip(counted, group, labels):
-            if g in seen:
+    def _choose_terms(self, texts: list[str], labels: list[int]) -> None:
+        """Toxic texts name the candidates, all texts count them; the words of one text at a time are in memory."""
+        with_beginnings = lambda words: {*words, *(w[:n] + "*" for n in PREFIXES for w in words if len(w) > n)}
+        seen, toxic = set(), Counter()
+        for t, y in zip(texts, labels):
+            if y:
+                words = set(words_of(t))
+                if (key := copy_key(words)) not in seen:
+                    seen.add(key)
+                    toxic.update(with_beginnings(words))
+        toxic = {t: n for t, n in toxic.items() if n >= 4}
+        seen, df, hits, n = set(), Counter(), Counter(), 0
+        for t, y in zip(texts, labels):
+            words = set(words_of(t))
+            if (key := copy_key(words)) in seen:
                 continue
-            seen.add(g)
+            seen.add(key)
             n += 1
-            terms = {*c, *(w[:n] + "*" for n in PREFIXES for w in c if len(w) > n)}
+            terms = with_beginnings(words).intersection(toxic)
             df.update(terms)
             if y:
-                toxic.update(terms)
-        best = sorted(((-lower_share(a, df[t]), t) for t, a in toxic.items() if a >= 4 and lower_share(a, df[t]) > 0.5))[:MAX_TERMS]
+                hits.update(terms)
+        best = sorted(((-lower_share(a, df[t]), t) for t, a in hits.items() if a >= 4 and lower_share(a, df[t]) > 0.5))[:MAX_TERMS]
         self.terms = {t: i + 1 for i, (_, t) in enumerate(sorted(best))}  # 0: all other words
         self.idf = np.array([1.0, *(1 + math.log((n + 1) / (df[t] + 1)) for _, t in sorted(best))])
 
