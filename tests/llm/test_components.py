@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from lexforge.llm.components import connected_components
 
 
@@ -22,3 +24,15 @@ def test_components_match_union_find(spark):
 
 def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_long_chains_are_joined(spark):
+    links = [(i, i + 1) for i in range(4000)] + [(10_000 - i, 9_999 - i) for i in range(3000)]
+    got = {r.id: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(4001)} | {i: 7_000 for i in range(7_000, 10_001)}
+
+
+def test_unfinished_labels_are_an_error(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        connected_components(links, rounds=1)
