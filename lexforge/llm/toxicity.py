@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Collection, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import BATCH_ROWS, held_out, held_out_expr, id_text, text_chunks
+from .ngram_join import HASHES, min_hashes
 
 #: The bound on the labelled rows a model is fitted on, and on the terms it keeps.
 MAX_EXAMPLES = 15_000
@@ -43,6 +44,10 @@ WORD_CACHE = 300_000
 THRESHOLD = 0.7
 #: Added to a neighbour's distance before it is inverted.
 MARGIN = 0.05
+#: Labelled texts are near copies from this Jaccard index of their word sets on; pairs agreeing in fewer of the 128 MinHash
+#: values (five standard deviations below) aren't compared.
+COPY = 0.8
+ALIKE = 80
 
 WORD = re.compile(r"\w+")
 
@@ -57,21 +62,47 @@ def lower_share(hits: int, total: int, z: float = 1.96) -> float:
     return (p + z * z / 2 / total - z * math.sqrt(p * (1 - p) / total + z * z / 4 / total / total)) / (1 + z * z / total)
 
 
-def copy_key(words: Collection[str]) -> int:
-    """A number that near copies mostly share: the smallest hash among the words that are too long to be common ones."""
-    return min(map(xxhash.xxh64_intdigest, [w for w in words if len(w) > 7] or words), default=0)
+def word_hashes(text: str) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the words."""
+    words = set(words_of(text))
+    return np.sort(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+
+
+def copy_groups(texts: list[str]) -> np.ndarray:
+    """For each text the place of the earliest group head whose word set is at least COPY similar (Jaccard), or its own.
+
+    MinHash values only choose the heads that are compared, from the most alike down; the exact sets decide. Texts
+    without words are one group.
+    """
+    sizes, sig = np.zeros(len(texts), np.int64), np.zeros((HASHES, len(texts)), np.uint32)
+    for a in range(0, len(texts), 64):  # the words of some texts at a time are in memory
+        sets = [word_hashes(t) for t in texts[a : a + 64]]
+        sizes[a : a + 64] = [len(x) for x in sets]
+        full = [i for i, x in enumerate(sets) if len(x)]
+        if full:
+            sig[:, [a + i for i in full]] = min_hashes([sets[i] for i in full]).T
+    group, head = np.arange(len(texts)), np.zeros(len(texts), bool)
+    for i, t in enumerate(texts):
+        near = np.flatnonzero(head[:i] & (np.minimum(sizes[:i], sizes[i]) >= COPY * np.maximum(sizes[:i], sizes[i])))
+        agree = (sig[:, near] == sig[:, i, None]).sum(axis=0)
+        near, agree = near[agree >= ALIKE], agree[agree >= ALIKE]
+        own = word_hashes(t) if len(near) else None
+        for j in near[np.argsort(-agree, kind="stable")].tolist():
+            common = len(np.intersect1d(own, word_hashes(texts[j]), assume_unique=True))
+            if common >= COPY * (sizes[i] + sizes[j] - common):
+                group[i] = j
+                break
+        head[i] = group[i] == i
+    return group
 
 
 class ToxicityModel:
     def __init__(self, ids: list[int], texts: list[str], labels: list[int], k: int = NEIGHBOURS):
         self.k, self.n = k, len(ids)
         self.prior = float(np.mean(labels)) if labels else 0.0
-        self._choose_terms(texts, labels)
-        rows, group = [], []
-        for t in texts:
-            counts = Counter(words_of(t))
-            rows.append(self.vector(counts))
-            group.append(copy_key(counts))
+        group = copy_groups(texts).tolist()
+        self._choose_terms(texts, labels, group)
+        rows = [self.vector(Counter(words_of(t))) for t in texts]
         order = sorted(range(self.n), key=lambda i: (labels[i], len(rows[i][0]), rows[i][0][:1].tolist(), i))
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
@@ -83,25 +114,25 @@ class ToxicityModel:
         if self.n:
             self._calibrate([rows[i] for i in order])
 
-    def _choose_terms(self, texts: list[str], labels: list[int]) -> None:
-        """Toxic texts name the candidates, all texts count them; the words of one text at a time are in memory."""
+    def _choose_terms(self, texts: list[str], labels: list[int], group: list[int]) -> None:
+        """Toxic texts name the candidates, all texts count them; the words of one text at a time are in memory.
+
+        Of near copies with the same label one counts, so a clean text never stands for a toxic one.
+        """
         with_beginnings = lambda words: {*words, *(w[:n] + "*" for n in PREFIXES for w in words if len(w) > n)}
         seen, toxic = set(), Counter()
-        for t, y in zip(texts, labels):
-            if y:
-                words = set(words_of(t))
-                if (key := copy_key(words)) not in seen:
-                    seen.add(key)
-                    toxic.update(with_beginnings(words))
+        for t, y, g in zip(texts, labels, group):
+            if y and g not in seen:
+                seen.add(g)
+                toxic.update(with_beginnings(set(words_of(t))))
         toxic = {t: n for t, n in toxic.items() if n >= 4}
         seen, df, hits, n = set(), Counter(), Counter(), 0
-        for t, y in zip(texts, labels):
-            words = set(words_of(t))
-            if (key := copy_key(words)) in seen:
+        for t, y, g in zip(texts, labels, group):
+            if (g, y) in seen:
                 continue
-            seen.add(key)
+            seen.add((g, y))
             n += 1
-            terms = with_beginnings(words).intersection(toxic)
+            terms = with_beginnings(set(words_of(t))).intersection(toxic)
             df.update(terms)
             if y:
                 hits.update(terms)

@@ -24,6 +24,20 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert {r.score for r in toxicity.toxicity_scores(odd_docs, nothing).collect()} == {0.0}
 
 
+def test_only_similar_examples_are_near_copies():
+    words = [f"word{i:05d}longer" for i in range(4000)]
+    shared = min(words, key=toxicity.xxhash.xxh64_intdigest)
+    texts = [" ".join([shared, *words[i * 50 : i * 50 + 50]]) for i in range(40)]
+    assert toxicity.copy_groups([*texts, texts[3] + " more", "", " "]).tolist() == [*range(40), 3, 41, 41]
+
+
+def test_a_clean_text_never_hides_a_toxic_one():
+    body = [" ".join(f"body{i}x{j}longer" for j in range(50)) for i in range(8)]
+    texts = [*body, *(b + " slur" for b in body)]
+    model = toxicity.ToxicityModel(list(range(16)), texts, [0] * 8 + [1] * 8)
+    assert "slur" in model.terms
+
+
 def test_nearest_examples_are_exact(spark):
     docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels)
