@@ -103,7 +103,8 @@ class ToxicityModel:
         group = copy_groups(texts).tolist()
         self._choose_terms(texts, labels, group)
         rows = [self.vector(Counter(words_of(t))) for t in texts]
-        order = sorted(range(self.n), key=lambda i: (labels[i], len(rows[i][0]), rows[i][0][:1].tolist(), i))
+        # equal cosines are taken in this order, so it must not know the labels
+        order = sorted(range(self.n), key=lambda i: (len(rows[i][0]), rows[i][0][:1].tolist(), xxhash.xxh64_intdigest(str(ids[i])), i))
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
         self.group = np.array([group[i] for i in order], np.uint64)

@@ -38,6 +38,12 @@ def test_a_clean_text_never_hides_a_toxic_one():
     assert "slur" in model.terms
 
 
+def test_equal_cosines_do_not_go_by_label():
+    texts = [f"{toxicity.xxhash.xxh64_hexdigest(str(i))} plain" for i in range(200)]
+    model = toxicity.ToxicityModel(list(range(200)), texts, [0] * 100 + [1] * 100)
+    assert 0 < model.labels[model.score("something else")[1]].sum() < 15
+
+
 def test_nearest_examples_are_exact(spark):
     docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels)
