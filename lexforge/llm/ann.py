@@ -1,15 +1,16 @@
 """Approximate nearest neighbours with a hash-prefix forest.
 
 The rows are dealt into blocks of bounded size and the queries into blocks too; one task holds one of each. For its rows
-it builds a forest: each tree gives a row a long string of hash bits (signs of random projections) and keeps the strings
+it builds forests: each tree gives a row a long string of hash bits (signs of random projections) and keeps the strings
 in a sorted array. A query descends in every tree to its longest matching prefix; then all trees ascend together, one
-bit at a time, until the ranges of rows that share the prefix hold enough candidates. Candidates are scored exactly on
-the original vectors in double precision, and the best of all blocks are merged.
+bit at a time, until the ranges of rows that share the prefix hold enough distinct candidates. Candidates are scored
+exactly on the original vectors in double precision, and the best of all blocks are merged.
 
 Inner products of vectors of unequal length are turned into angles by one more coordinate, sqrt(M² - |x|²) for rows and
-0 for queries, where M is the longest row of the block.
+0 for queries, where M is the longest row. That coordinate hides the rest where lengths differ much, so the rows of a
+block are sorted into classes of similar length, and each class has its own forest or, if small, is scored whole.
 
-Nothing is fitted and every row is indexed. Blocks are bounded, so recall does not depend on the number of rows.
+Nothing is fitted and every row is indexed. At least the stated share of the distinct rows of every class is scored.
 
 Defined results: vectors that are null, zero, of another dimension than the table's most frequent one, or that hold null
 or non-finite components take no part; a null vec_id takes no part; equal scores go to the smaller vec_id; fewer rows
@@ -18,6 +19,8 @@ than k give all of them; repeated rows are candidates each, except for the query
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,10 +32,13 @@ from ._common import power_of_two
 #: Rows and queries of one task on average.
 BLOCK_ROWS = 8_192
 BLOCK_QUERIES = 4_096
-#: Trees, bits of a hash string, and the candidates asked for as a share of the block (with repeats over trees).
+#: Trees, bits of a hash string, and the distinct candidates asked for as a share of the rows.
 TREES = 80
 BITS = 32
 SHARE = 0.9
+#: Classes of at most so many rows are scored whole; the longest row of a class is at most LENGTHS times the shortest.
+WHOLE = 2_048
+LENGTHS = 1.5
 
 HITS = "query_id long, vec_id long, score double"
 
@@ -56,35 +62,54 @@ class PrefixForest:
             out[:, a : a + len(part)] = np.packbits(bits, axis=2).view(">u4")[:, :, 0].T
         return out
 
-    def ranges(self, queries: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bounds in every tree of the rows that share the longest prefix for which all trees together hold enough."""
+    def candidates(self, queries: np.ndarray, wanted: int) -> Iterator[np.ndarray]:
+        """For each query the distinct rows in the ranges of the longest prefix that gives enough of them."""
         strings = self.strings(np.hstack([queries, np.zeros((len(queries), 1))]))
-        low, high = np.zeros((self.trees, len(queries)), np.int64), np.full((self.trees, len(queries)), self.n, np.int64)
-        open_ = np.arange(len(queries))
-        for bits in range(BITS, 0, -1):  # the ascent
-            if not len(open_):
-                break
-            width = np.uint64(1) << np.uint64(BITS - bits)
-            begin = strings[:, open_] // width * width
-            lo = np.stack([np.searchsorted(s, b) for s, b in zip(self.sorted, begin)])
-            hi = np.stack([np.searchsorted(s, b + width) for s, b in zip(self.sorted, begin)])
-            enough = (hi - lo).sum(axis=0) >= wanted
-            low[:, open_[enough]], high[:, open_[enough]] = lo[:, enough], hi[:, enough]
-            open_ = open_[~enough]
-        return low, high
+        for first in range(0, len(queries), 256):
+            part = strings[:, first : first + 256]
+            seen = np.zeros((part.shape[1], self.n), bool)
+            open_ = np.arange(len(seen))
+            for bits in range(BITS, 0, -1):  # the ascent
+                if not len(open_):
+                    break
+                width = np.uint64(1) << np.uint64(BITS - bits)
+                begin = part[:, open_] // width * width
+                lo = np.stack([np.searchsorted(s, b) for s, b in zip(self.sorted, begin)])
+                hi = np.stack([np.searchsorted(s, b + width) for s, b in zip(self.sorted, begin)])
+                enough = (hi - lo).sum(axis=0) >= wanted  # fewer entries can't be enough distinct rows
+                for j in np.flatnonzero(enough).tolist():
+                    row = seen[open_[j]]
+                    for order, a, b in zip(self.order, lo[:, j].tolist(), hi[:, j].tolist()):
+                        row[order[a:b]] = True
+                    enough[j] = np.count_nonzero(row) >= wanted
+                open_ = open_[~enough]
+            seen[open_] = True
+            yield from map(np.flatnonzero, seen)
+
+
+def length_classes(rows: np.ndarray) -> list[np.ndarray]:
+    """The places of the rows, those of similar length together."""
+    norms = np.linalg.norm(rows, axis=1)
+    order = np.argsort(norms, kind="stable")
+    out, a = [], 0
+    while a < len(order):
+        b = max(a + 1, int(np.searchsorted(norms[order], norms[order[a]] * LENGTHS, side="right")))
+        out.append(np.sort(order[a:b]))
+        a = b
+    return out
 
 
 def search_block(row_ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, trees: int = TREES, share: float = SHARE) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """The best k candidates of each query in one block of rows."""
-    forest = PrefixForest(rows, trees)
-    out, seen = [], np.zeros(len(rows), bool)
-    low, high = forest.ranges(queries, max(8 * k, int(share * len(rows))))
-    for i, (q, vector) in enumerate(zip(query_ids.tolist(), queries)):
-        for order, a, b in zip(forest.order, low[:, i].tolist(), high[:, i].tolist()):
-            seen[order[a:b]] = True
-        found = np.flatnonzero(seen & (row_ids != q))
-        seen[:] = False
-        scores = rows[found] @ vector
+    classes = length_classes(rows)
+    whole = np.concatenate([np.zeros(0, np.int64), *(c for c in classes if len(c) <= WHOLE)])
+    large = [c for c in classes if len(c) > WHOLE]
+    met = [PrefixForest(rows[c], trees).candidates(queries, min(len(c), max(8 * k, int(np.ceil(share * len(c)))))) for c in large]
+    out = []
+    for q, vector in zip(query_ids.tolist(), queries):
+        found = np.sort(np.concatenate([whole, *(c[next(m)] for c, m in zip(large, met))]))
+        found = found[row_ids[found] != q]
+        scores = (rows @ vector)[found]
         if len(found) > 4 * k:
             edge = np.partition(scores, len(scores) - k)[len(scores) - k]
             keep = scores >= edge - 1e-9

@@ -96,6 +96,29 @@ def test_neighbours(spark):
     assert hits >= 0.9 * 20 * len(by)
 
 
+def recall(folder, sigma):
+    """Share of the exact neighbours found in one block, on vectors scaled by lognormal lengths."""
+    t = pq.read_table(f"/root/testdata/{folder}/embeddings.parquet").slice(0, ann.BLOCK_ROWS)
+    ids, v = t["vec_id"].to_numpy(), np.array(t["embedding"].to_pylist(), float)
+    v *= np.random.default_rng(5).lognormal(0, sigma, len(v))[:, None]
+    asked = np.flatnonzero(ids % 20 == 0)[:100]
+    hits = 0
+    for i, (_, found, _) in zip(asked.tolist(), ann.search_block(ids, v, ids[asked], v[asked], 20)):
+        order = [j for j in np.argsort(-(v @ v[i]), kind="stable").tolist() if j != i][:20]
+        hits += len(set(ids[order].tolist()) & set(found.tolist()))
+    return hits / (20 * len(asked))
+
+
+def test_neighbours_of_small_tables():
+    assert recall("sf0.001", 0) == 1
+
+
+def test_neighbours_of_unequal_lengths(monkeypatch):
+    assert recall("sf0.1", 0) >= 0.9 and recall("sf0.1", 1) >= 0.9
+    monkeypatch.setattr(ann, "WHOLE", 0)  # the forests alone
+    assert recall("sf0.1", 0) >= 0.9 and recall("sf0.1", 1) >= 0.9
+
+
 def test_odd_vectors(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [5.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [1.0]), (None, [1.0, 1.0]), (20, [1.0, 0.0]), (7, [None, 1.0])]
