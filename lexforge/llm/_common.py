@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 #: Characters of text that one chunk holds before it is processed.
 CHUNK_CHARS = 2_000_000
-#: Rows of one Arrow batch sent to Python; keeps a batch of long texts small.
+#: Rows and bytes of one Arrow batch sent to Python; a batch ends at whichever comes first, but holds one row at least.
 BATCH_ROWS = 500
+BATCH_BYTES = 8_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,14 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns needed, so clashing names elsewhere never matter; null text is empty."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session; texts may be long. (Spark reads the setting when a plan runs.)"""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which every executor shares; a local one only where that is unset."""
+    """A new folder below spark.checkpoint.dir, which every executor shares; a local one only in local mode where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="lexforge-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/lexforge/{uuid.uuid4().hex}"
@@ -82,6 +91,17 @@ def text_chunks(batches: Iterable[pa.RecordBatch], max_chars: int = CHUNK_CHARS)
             yield ids, texts
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string or binary column without nulls end to end, and where each row begins (and the last ends)."""
+    kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    bounds = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
 def held_out_expr(id_col: str = "doc_id") -> Column:
     """Rows kept out of training: crc32 of the id as text leaves 1 when divided by 3. A null id is not held out."""
     return F.coalesce(F.expr(f"pmod(crc32(cast({id_col} as string)), 3) = 1"), F.lit(False))

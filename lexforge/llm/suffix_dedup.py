@@ -3,18 +3,19 @@
 Candidates. Every window of `length` bytes is represented by the smallest hash among the `GRAM`-byte strings in it;
 equal windows have equal representatives. Successive windows with the same representative are one run, kept as its
 representative's hash, a hash of its bytes and its place. Runs whose representative occurs once cannot repeat. Of runs
-with the same bytes all but the first are repeats as a whole. What is left are the first runs of representatives that
+with the same bytes (by 128 bits of hash: representative and run) all but the first are repeats as a whole. What is left are the first runs of representatives that
 occur with different bytes around them: parts of these may repeat.
 
-Parts. These runs are dealt out by representative. A task cuts its runs into shards, sorts each shard's suffixes and
-takes the shard's Burrows-Wheeler transform. The transforms are merged by refining an interleave of the shards: after h
-rounds all suffixes are in the order of their first h bytes, each round needing only one stable pass over the symbols
-and the last-to-first maps. Suffixes are grouped by common prefix on the way: one that is alone in its group, or has
-come to the end of its run, cannot become a repeat and is left out. After `length` rounds the groups are the repeated
-strings, and all their members but the earliest are repeats.
+Parts. These runs are dealt out by representative. A task cuts its runs into shards, orders each shard's suffixes by
+their first bytes (a transform of bounded order) and takes the shard's Burrows-Wheeler transform over STEP symbols. The
+transforms are merged by refining an interleave of the shards: it begins with the suffixes at the ends of all windows;
+each round goes STEP bytes to the left by the last-to-first maps and needs only stable passes over the symbols there, so
+after h rounds all suffixes are in the order of their first h * STEP bytes and no suffix is ever sorted anew. Suffixes are
+grouped by common prefix on the way: one that is alone in its group cannot become a repeat and is left out. At `length`
+bytes the groups are the repeated windows, compared byte by byte, and all their members but the earliest are repeats.
 
-Representatives with very many different runs (a passage that a large part of all documents holds, at its edges) are not
-gathered in a task: their windows are compared by two 64-bit hashes in an ordinary aggregation.
+Representatives with more than HOT_RUNS different runs (a passage that a large part of all documents holds, at its edges)
+are not gathered in a task: their windows are grouped by their bytes in an ordinary aggregation, which is as exact.
 
 Defined results: null text is empty; texts shorter than `length` have nothing removed; rows with a null id take no part
 and are returned whole; rows that share an id are the same document; an empty table gives no rows.
@@ -24,13 +25,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, drop_table, free_shuffles, id_text, mix64, power_of_two, text_chunks
+from ._common import cut, drop_table, free_shuffles, id_text, mix64, power_of_two, small_batches, text_bytes, text_chunks
 
 LENGTH = 100
 #: Bytes of a representative string.
@@ -40,7 +43,11 @@ SLICE = 500_000
 #: Runs of a task that merges transforms, shards of it, and the runs of one representative from which windows are hashed.
 TASK_RUNS = 8_192
 SHARDS = 4
-HOT_RUNS = 16_384
+HOT_RUNS = 8_192
+#: Bytes a round of the merge compares, bytes that a shard's suffixes are ordered by beforehand, bytes of a batch of runs.
+STEP = 4
+ORDER = 7
+CUT_BYTES = 4_000_000
 
 _MULTIPLIER = 0x5851F42D4C957F2D
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -129,63 +136,61 @@ def find_runs(texts: DataFrame, length: int) -> DataFrame:
 
 
 def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of strings that end with symbol 0, by prefix doubling; equal ones stay in place order.
-
-    text: symbols up to 256; ends: for each position the position of its string's 0.
-    """
-    n = len(text)
-    place = np.arange(n)
-    key = np.zeros(n, np.uint64)
-    for d in range(7):
+    """Order of all suffixes of strings that end with symbol 0 by their first ORDER symbols; others stay in place order."""
+    place = np.arange(len(text), dtype=np.int64)
+    key = np.zeros(len(text), np.uint64)
+    for d in range(ORDER):
         here = place + d
-        key = key << np.uint64(9) | np.where(here <= ends, text[np.minimum(here, n - 1)], 0).astype(np.uint64)
-    span, room = 7, int((ends - place).max()) + 1
-    while True:
-        order = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate(([1], key[order][1:] != key[order][:-1])))
-        if span >= room or rank[order[-1]] == n:
-            return order
-        here = place + span
-        key = (rank << 32 | np.where(here <= ends, rank[np.minimum(here, n - 1)], 0)).astype(np.uint64)
-        span *= 2
-
-
-def shard_transform(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Burrows-Wheeler transform, last-to-first map and suffix array of a few runs, each closed by a 0."""
-    sizes = np.array([len(r) + 1 for r in runs])
-    bounds = np.concatenate(([0], np.cumsum(sizes)))
+        key = key << np.uint64(9) | np.where(here <= ends, text[np.minimum(here, len(text) - 1)], 0).astype(np.uint64)
+    return np.argsort(key, kind="stable")
+
+
+class Transform(NamedTuple):
+    """A shard's transform over STEP symbols: for each row, in the order of the suffixes, the symbols before the suffix and
+    the row of the suffix that begins with them (-1: they reach beyond the run); and the places of the suffixes."""
+
+    symbols: np.ndarray
+    row: np.ndarray
+    place: np.ndarray
+
+
+def shard_transform(raw: np.ndarray, sizes: np.ndarray) -> Transform:
+    """Transform of a few runs laid end to end in raw; each is closed by a 0 of its own."""
+    bounds = np.concatenate(([0], np.cumsum(sizes + 1)))
     text = np.zeros(bounds[-1], np.uint16)
-    raw = np.frombuffer(b"\0".join(runs) + b"\0", np.uint8)
-    text[:] = raw
-    text += 1
-    text[bounds[1:] - 1] = 0
-    ends = np.repeat(bounds[1:] - 1, sizes)
-    order = suffix_order(text, ends)
-    row = np.empty(len(order), np.int64)
-    row[order] = np.arange(len(order))
-    before = np.arange(len(text)) - 1
-    before[bounds[:-1]] = bounds[1:] - 1  # a run's first byte comes after its own 0
-    return text[before[order]], row[before[order]], order
-
-
-def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], length: int) -> tuple[np.ndarray, np.ndarray]:
+    inner = np.ones(bounds[-1], bool)
+    inner[bounds[1:] - 1] = False
+    text[inner] = raw.astype(np.uint16) + 1
+    order = suffix_order(text, np.repeat(bounds[1:] - 1, sizes + 1))
+    row = np.empty(len(order), np.int32)
+    row[order] = np.arange(len(order), dtype=np.int32)
+    inside = order - np.repeat(bounds[:-1], sizes + 1)[order] >= STEP
+    before = np.maximum(order - STEP, 0)
+    symbols = np.zeros(len(order), np.uint32)
+    for d in range(STEP):  # symbols of a place in the run lie in 1..256
+        symbols = symbols << np.uint32(8) | (text[np.minimum(before + d, len(text) - 1)] - 1 & 255).astype(np.uint32)
+    return Transform(symbols, np.where(inside, row[before], -1), order)
+
+
+def merge_transforms(shards: list[Transform], ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Members of all groups of suffixes with a common prefix of `length` bytes, and their group numbers.
 
-    A member is a position in the shards' texts laid end to end.
+    Members are places in the shards' texts laid end to end; ends are the places that lie `length` bytes after a member.
+    After each round the interleave holds the suffixes STEP bytes further to the left in the order of the bytes compared.
     """
-    base = np.concatenate(([0], np.cumsum([len(s[0]) for s in shards])))
-    symbol = np.concatenate([s[0] for s in shards])
-    first = np.concatenate([s[1] + b for s, b in zip(shards, base)])
-    place = np.concatenate([s[2] + b for s, b in zip(shards, base)])
-    current = np.arange(base[-1])  # round 0: no bytes compared, shard after shard
+    base = np.concatenate(([0], np.cumsum([len(s.place) for s in shards])))
+    symbols = np.concatenate([s.symbols for s in shards])
+    back = np.concatenate([np.where(s.row < 0, -1, s.row + b) for s, b in zip(shards, base)])
+    place = np.concatenate([s.place + b for s, b in zip(shards, base)])
+    wanted = np.zeros(base[-1], bool)
+    wanted[ends] = True
+    current = np.flatnonzero(wanted[place])  # round 0: no bytes compared, shard after shard
     group = np.zeros(len(current), np.int64)
-    for _ in range(length):
-        s = symbol[current]
-        inside = s > 0  # a suffix that would begin before its run
-        current, group, s = current[inside], group[inside], s[inside]
-        order = np.argsort(s, kind="stable")
-        current, group, s = first[current[order]], group[order], s[order]
+    for _ in range(length // STEP):
+        s = symbols[current]
+        order = np.argsort((s & np.uint32(0xFFFF)).astype(np.uint16), kind="stable")
+        order = order[np.argsort((s >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
+        current, group, s = back[current[order]], group[order], s[order]
         if not len(current):
             break
         new = np.concatenate(([True], (s[1:] != s[:-1]) | (group[1:] != group[:-1])))
@@ -195,15 +200,23 @@ def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], le
     return place[current], group
 
 
-def repeated_parts(docs: np.ndarray, lows: np.ndarray, runs: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_id, first and last start of the windows in these runs that have an earlier equal one among them."""
-    cuts = [range(k, len(runs), SHARDS) for k in range(min(SHARDS, len(runs)))]
-    order = np.array([i for c in cuts for i in c])
-    members, group = merge_transforms([shard_transform([runs[i] for i in c]) for c in cuts], length)
-    sizes = np.array([len(runs[i]) + 1 for i in order.tolist()])
-    bounds = np.concatenate(([0], np.cumsum(sizes)))
-    run = np.searchsorted(bounds, members, "right") - 1
-    doc, start = docs[order[run]], lows[order[run]] + members - bounds[run]
+def repeated_parts(docs: np.ndarray, lows: np.ndarray, raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, first and last start of the windows in these runs that have an earlier equal one among them.
+
+    raw: the runs' bytes end to end, run k from bounds[k] to bounds[k + 1].
+    """
+    n = len(docs)
+    edges = np.linspace(0, n, min(SHARDS, n) + 1).astype(np.int64)
+    sizes = np.diff(bounds)
+    shards = [shard_transform(raw[bounds[a] : bounds[b]], sizes[a:b]) for a, b in zip(edges, edges[1:])]
+    at = bounds[:-1] + np.arange(n)  # where each run begins among texts that have one more symbol a run
+    windows = sizes - length + 1
+    ends = np.repeat(at + length, windows) + _counted(windows)
+    trimmed = length - length % STEP  # windows are compared in whole steps, the odd bytes at their beginning below
+    members, group = merge_transforms(shards, ends, trimmed)
+    members, group = _compare_rest(members, group, raw, at, length - trimmed)
+    run = np.searchsorted(at, members, "right") - 1
+    doc, start = docs[run], lows[run] + members - at[run]
     by = np.lexsort((start, doc, group))
     doc, start, group = doc[by], start[by], group[by]
     if not len(group):
@@ -218,29 +231,72 @@ def repeated_parts(docs: np.ndarray, lows: np.ndarray, runs: list[bytes], length
     return doc[new], start[new], start[last]
 
 
+def _counted(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, … for each of the sizes, end to end."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+
+
+def _compare_rest(members: np.ndarray, group: np.ndarray, raw: np.ndarray, at: np.ndarray, rest: int) -> tuple[np.ndarray, np.ndarray]:
+    """One byte more to the left for each of the `rest` bytes that whole steps left over."""
+    for _ in range(rest):
+        members = members - 1
+        run = np.searchsorted(at, members, "right") - 1
+        s = raw[members - run]
+        order = np.lexsort((s, group))
+        members, group, s = members[order], group[order], s[order]
+        group = np.cumsum(np.concatenate(([True], (s[1:] != s[:-1]) | (group[1:] != group[:-1])))) if len(s) else group
+    return members, group
+
+
 SPANS = "doc_id long, lo int, hi int"
 
 
 def cut_runs(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(h, doc_id, lo, run) for wanted (h, doc_id, lo, hi)."""
+    """(h, doc_id, lo, run) for wanted (h, doc_id, lo, hi); a batch of at most CUT_BYTES (or one run) at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[], [], [], []]
-            for i, t, found in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                raw = t.as_py().encode()
-                hs, los, his = (found.values.field(k).to_pylist() for k in range(3))
-                for h, lo, hi in zip(hs, los, his):
-                    part = raw[lo : hi + length]
-                    if len(part) == hi - lo + length:
-                        for c, v in zip(out, (h, i, lo, part)):
-                            c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())], ["h", "doc_id", "lo", "run"])
+            raw, bounds = text_bytes(b.column(1))
+            found, counts = b.column(2).flatten(), pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), counts)
+            h, lo, hi = (found.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            begin, size = bounds[row] + lo, hi.astype(np.int64) - lo + length
+            fits = np.flatnonzero(begin + size <= bounds[row + 1])  # rows that share an id may hold other texts
+            doc = b.column(0).to_numpy(zero_copy_only=False)[row]
+            upto = np.cumsum(size[fits])
+            a = 0
+            while a < len(fits):
+                e = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + CUT_BYTES, "right")))
+                part = fits[a:e]
+                offsets = np.concatenate(([0], np.cumsum(size[part]))).astype(np.int32)
+                data = raw[np.repeat(begin[part] - offsets[:-1], size[part]) + np.arange(offsets[-1])]
+                runs = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([pa.array(h[part]), pa.array(doc[part]), pa.array(lo[part]), runs], ["h", "doc_id", "lo", "run"])
+                a = e
 
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("h", "lo", "hi")).alias("found"))
     return texts.join(lists, "doc_id").select("doc_id", "text", "found").mapInArrow(run, "h long, doc_id long, lo int, run binary")
 
 
+def windows_of(parts: DataFrame, length: int) -> DataFrame:
+    """(window, doc_id, lo): the bytes of every window of the runs (h, doc_id, lo, run)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 500):
+                raw, bounds = text_bytes(b.column(3).slice(k, 500))
+                doc, lo = (b.column(c).slice(k, 500).to_numpy(zero_copy_only=False) for c in (1, 2))
+                n = np.diff(bounds) - length + 1
+                step = _counted(n)
+                data = raw[(np.repeat(bounds[:-1], n) + step)[:, None] + np.arange(length)]
+                offsets = np.arange(len(data) + 1, dtype=np.int32) * length
+                found = pa.BinaryArray.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+                yield pa.RecordBatch.from_arrays([found, pa.array(np.repeat(doc, n)), pa.array((np.repeat(lo, n) + step).astype(np.int32))], ["window", "doc_id", "lo"])
+
+    return parts.mapInArrow(run, "window binary, doc_id long, lo int")
+
+
 def repeat_spans(texts: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(doc_id, lo, hi): ranges of window starts whose windows have an earlier equal one."""
     spark = texts.sparkSession
@@ -263,27 +319,15 @@ def repeat_spans(texts: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUN
     tasks = power_of_two(n / TASK_RUNS, 16)
 
     def merge(rows: pa.Table) -> pa.Table:
-        doc, lo, hi = repeated_parts(rows.column("doc_id").to_numpy(), rows.column("lo").to_numpy().astype(np.int64), rows.column("run").to_pylist(), length)
+        raw, bounds = text_bytes(rows.column("run").combine_chunks())
+        doc, lo, hi = repeated_parts(rows.column("doc_id").to_numpy(), rows.column("lo").to_numpy().astype(np.int64), raw, bounds, length)
         return pa.table({"doc_id": pa.array(doc, pa.int64()), "lo": pa.array(lo.astype(np.int32)), "hi": pa.array(hi.astype(np.int32))})
 
     cool = parts.join(hot, "h", "left_anti").withColumn("task", F.pmod(F.xxhash64("h"), F.lit(tasks)))
     some = cool.groupBy("task").applyInArrow(merge, SPANS)
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cols: list[list[np.ndarray]] = [[], [], [], []]
-            for doc, lo, raw in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                at = np.arange(len(raw) - length + 1)
-                part = np.frombuffer(raw, np.uint8)
-                for c, v in zip(cols, (Hashes(part).of(at, at + length), Hashes(part[::-1].copy()).of(len(raw) - length - at, len(raw) - at), np.full(len(at), doc), at + lo)):
-                    c.append(v)
-            if cols[0]:
-                w1, w2, doc, lo = map(np.concatenate, cols)
-                yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(doc, pa.int64()), pa.array(lo.astype(np.int32))], ["w1", "w2", "doc_id", "lo"])
-
-    single = parts.join(hot, "h", "left_semi").mapInArrow(windows, "w1 long, w2 long, doc_id long, lo int")
-    first = single.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "lo")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    rest = single.join(first, ["w1", "w2"]).where(F.struct("doc_id", "lo") != F.col("head")).select("doc_id", "lo", F.col("lo").alias("hi"))
+    single = windows_of(parts.join(hot, "h", "left_semi"), length)
+    first = single.groupBy("window").agg(F.min(F.struct("doc_id", "lo")).alias("head"), F.count("*").alias("n")).where("n > 1")
+    rest = single.join(first, "window").where(F.struct("doc_id", "lo") != F.col("head")).select("doc_id", "lo", F.col("lo").alias("hi"))
     return whole.unionByName(some).unionByName(rest)
 
 
@@ -313,6 +357,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS
 
 def strip_repeats(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with its columns, repeats cut out of the texts; bytes that no longer form whole characters go too."""
+    small_batches(docs.sparkSession)
     key, spans = "_suffix_dedup_id", "_suffix_dedup_spans"
     lists = span_lists(docs, length, hot_runs, id_col, text_col).select(F.col("doc_id").alias(key), F.col("spans").alias(spans))
     names = docs.columns

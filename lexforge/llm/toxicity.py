@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BATCH_ROWS, held_out, held_out_expr, id_text, text_chunks
+from ._common import held_out, held_out_expr, id_text, small_batches, text_chunks
 from .ngram_join import HASHES, min_hashes
 
 #: The bound on the labelled rows a model is fitted on, and on the terms it keeps.
@@ -286,7 +286,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, threshold: float = TH
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns as they were, whose score is below the threshold."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
