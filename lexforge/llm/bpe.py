@@ -6,7 +6,7 @@ prefix ends and the two tokens are *compatible*: merging by rank their joined by
 Following the stored last tokens backwards from the end of the word yields the ids.
 
 Words are the pre-tokens of the tokenizer's own pattern. A boundary lies before every single space that is followed by
-a non-space, so a text falls apart into pieces that are encoded once and looked up afterwards (bounded cache).
+a non-space, so a text falls apart into pieces that are encoded once and looked up afterwards (bounded table).
 
 Defined results: null text is empty; empty text has no ids; special strings in a text become their special id, as the
 library does by default; rows are independent, so ties and repeated rows need no rule.
@@ -24,12 +24,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import id_text, text_chunks
+from ._common import id_text
+from .pieces import PieceTable, gather
 
 #: Pieces, words and token pairs that a worker remembers. A full cache takes nothing more; it is emptied when it no
 #: longer fits the texts (see refresh) or, for pairs, when full.
 PIECE_CACHE = 300_000
-WORD_CACHE = 200_000
+WORD_CACHE = 50_000
 PAIR_CACHE = 300_000
 
 #: The pattern that splits a text into pre-tokens, as the library's byte-level pre-tokenizer has it (fixed value).
@@ -122,10 +123,10 @@ class PrefixEncoder:
             self.bytes_of[i] = n
         for s, i in self.special.items():
             self.bytes_of[i] = s.encode()
-        self.text_of = [str(i) for i in range(size)]
+        self.digits, self.contents = Lists([f"{i},".encode() for i in range(size)]), Lists(self.bytes_of)
         self._build_automaton(rank)
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.table = PieceTable(self.encode_rows, self.encode_pieces, self.encode, tuple(self.special))
 
     def _build_automaton(self, rank: dict[bytes, int]) -> None:
         """States are the prefixes of tokens; following bytes leads to the longest prefix that the text read ends with."""
@@ -154,7 +155,7 @@ class PrefixEncoder:
                 longest[n] = below if t < 0 else t
                 if t >= 0:
                     shorter[t] = below
-        self.go = IntMap(18)
+        self.go = IntMap(19)
         self.go.add(np.fromiter(go, np.int64, len(go)), np.fromiter(go.values(), np.int32, len(go)))
         self.back, self.longest, self.shorter = np.array(back, np.int32), np.array(longest, np.int32), np.array(shorter, np.int32)
         self.length = np.zeros(len(rank), np.int32)
@@ -234,13 +235,26 @@ class PrefixEncoder:
     def _encode_group(self, words: list[bytes]) -> list[bytes]:
         """Words in ascending order of length."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        width, rows = int(sizes[-1]), len(words)
-        if not width:
-            return [b""] * rows
-        text = np.zeros((width, rows), np.uint8)
+        text = np.zeros((int(sizes[-1]), len(words)), np.uint8)
         starts = np.concatenate(([0], np.cumsum(sizes)))
-        row = np.repeat(np.arange(rows), sizes)
+        row = np.repeat(np.arange(len(words)), sizes)
         text[np.arange(starts[-1]) - starts[row], row] = np.frombuffer(b"".join(words), np.uint8)
+        flat, counts = self._encode_columns(text, sizes)
+        raw, bounds = flat.tobytes(), [0, *(np.cumsum(counts) * 4).tolist()]
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode_rows(self, text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words given as rows of bytes, end to end, and how many each word has."""
+        order = np.argsort(sizes, kind="stable")
+        flat, counts = self._encode_columns(text[order].T, sizes[order])
+        starts, out = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        starts[order], out[order] = np.cumsum(counts) - counts, counts
+        return gather(flat, starts, out), out
+
+    def _encode_columns(self, text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of words in ascending order of length, one a column."""
+        rows = len(sizes)
+        width = int(sizes[-1]) if rows else 0
         last = np.zeros((width + 1, rows), np.int32)
         state = np.zeros(rows, np.int32)
         for end in range(1, width + 1):
@@ -253,7 +267,7 @@ class PrefixEncoder:
                 inner = np.flatnonzero(begin > 0)
                 bad = inner[~self.all_compatible(last[begin[inner], open_[inner]], token[inner])]
                 open_, token = open_[bad], self.shorter[token[bad]]
-        at, who, found = sizes.copy(), np.arange(rows), []
+        at, who, found = sizes.copy(), np.flatnonzero(sizes), []
         while len(who):
             t = last[at[who], who]
             found.append((who, t))
@@ -263,12 +277,11 @@ class PrefixEncoder:
         for who, _ in found:
             counts[who] += 1
         ends = np.cumsum(counts)
-        flat, place = np.zeros(int(ends[-1]), "<u4"), ends - 1
+        flat, place = np.zeros(int(ends[-1]) if rows else 0, np.uint32), ends - 1
         for who, t in found:
             flat[place[who]] = self.id_array[t]
             place[who] -= 1
-        raw, bounds = flat.tobytes(), [0, *(ends * 4).tolist()]
-        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+        return flat, counts
 
     def split_piece(self, piece: str) -> list[str]:
         """Pre-tokens of a piece; the usual word with or without one mark after it needs no pattern."""
@@ -304,45 +317,28 @@ class PrefixEncoder:
             at = m.end()
         return b"".join([*out, self.encode_plain(text[at:])])
 
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        return pieces_to_ids(texts, self.pieces, self.encode_pieces, self.encode, tuple(self.special))
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of an Arrow column end to end, and where each text's ids begin (and the last ones end)."""
+        return self.table.encode(column)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def pieces_to_ids(texts: list[str], cache: dict[str, bytes], encode_new, encode_whole, special: tuple[str, ...]) -> list[bytes]:
-    """Encode texts piece by piece through a bounded cache.
-
-    A piece is a space and what follows up to the next one. It stands alone if it begins with a non-space, so texts
-    with other pieces, and texts with special strings, are encoded whole.
-    """
-    spans, pieces, out = [], [], [b""] * len(texts)
-    for k, t in enumerate(texts):
-        if not t:
-            continue
-        if any(s in t for s in special):
-            out[k] = encode_whole(t)
-            continue
-        first, *rest = t.split(" ")
-        begin = len(pieces)
-        pieces.append("\0" + first)  # the first one has no space before it
-        pieces += rest
-        spans.append((k, begin, len(pieces)))
-    values, odd = list(map(cache.get, pieces)), False
-    if missing := [i for i, v in enumerate(values) if v is None]:
-        new = list({pieces[i] for i in missing})
-        plain = [p for p in new if p and p != "\0" and not (p[0] == "\0" and p[1].isspace() or p[0].isspace())]
-        odd = len(plain) < len(new)
-        found = dict(zip(plain, encode_new([p[1:] if p[0] == "\0" else " " + p for p in plain])))
-        for i in missing:
-            values[i] = found.get(pieces[i])
-        refresh(cache, found, len(missing), len(pieces))
-    for k, a, b in spans:
-        part = values[a:b]
-        out[k] = encode_whole(texts[k]) if odd and None in part else b"".join(part)
-    return out
+class Lists:
+    """A byte string for each id, joined for many ids at a time."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def join(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The joined strings of the ids between one bound and the next."""
+        sizes = self.sizes[ids]
+        raw = gather(self.flat, self.starts[ids], sizes).tobytes()
+        at = np.concatenate(([0], np.cumsum(sizes)))[bounds].tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
 def refresh(cache: dict, found: dict, missed: int, asked: int, most: int = PIECE_CACHE) -> None:
@@ -370,23 +366,13 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str | None = None, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for ids, texts in text_chunks(batches):
-            rows = {"doc_id": pa.array(ids, pa.int64()), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            all_ids, decoded = [], []
-            for raw in enc.encode_texts(texts):
-                tokens = np.frombuffer(raw, "<u4").tolist()
-                text = enc.decode(tokens)
-                rows["n_tokens"].append(len(tokens))
-                rows["ids_sha256"].append(hashlib.sha256(",".join(map(enc.text_of.__getitem__, tokens)).encode()).hexdigest())
-                rows["decoded_sha256"].append(hashlib.sha256(text.encode()).hexdigest())
-                if with_ids:
-                    all_ids.append(tokens)
-                    decoded.append(text)
+        for b in batches:
+            ids, bounds = enc.encode_column(b.column(1))
+            sha = lambda raw: hashlib.sha256(raw).hexdigest()
+            decoded = [raw.decode("utf-8", "replace") for raw in enc.contents.join(ids, bounds)]
+            cols = [b.column(0), pa.array(np.diff(bounds)), pa.array([sha(raw[:-1]) for raw in enc.digits.join(ids, bounds)], pa.string()), pa.array([sha(t.encode()) for t in decoded], pa.string())]
             if with_ids:
-                rows |= {"ids": pa.array(all_ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
-            rows["n_tokens"] = pa.array(rows["n_tokens"], pa.int64())
-            for k in ("ids_sha256", "decoded_sha256"):
-                rows[k] = pa.array(rows[k], pa.string())
-            yield pa.RecordBatch.from_pydict(rows)
+                cols += [pa.ListArray.from_arrays(bounds.astype(np.int32), ids.astype(np.int32)), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(cols)])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, schema)

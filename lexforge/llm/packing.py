@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import cut, id_text, power_of_two, text_chunks
+from ._common import cut, id_text, power_of_two
 from .bpe import encoder
 
 #: Pieces of one (length, bucket) group on average at most; groups are ordered inside one task.
@@ -36,21 +36,23 @@ def token_pieces(docs: DataFrame, path: str, size: int, end_id: int, buckets: in
     """Pieces of at most `size` ids of every document, each with its checksum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path), np.array([end_id], "<u4").tobytes()
-        for ids, texts in text_chunks(batches):
-            cols: list[list] = [[] for _ in range(6)]
-            for i, raw in zip(ids, enc.encode_texts(texts)):
-                raw += end
-                n = len(raw) // 4
-                first = (n - 1) % size + 1
-                bucket = zlib.crc32(str(i).encode()) % buckets
-                a, b, k = 0, first, 0
-                while a < n:
-                    for c, v in zip(cols, (i, bucket, k, a, b - a, zlib.crc32(raw[4 * a : 4 * b]))):
-                        c.append(v)
-                    a, b, k = b, b + size, k + 1
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_pydict({f.split()[0]: pa.array(c, t) for f, c, t in zip(PIECES.split(", "), cols, types)})
+        enc, end = encoder(path), np.array([end_id], "<u4")
+        for b in batches:
+            ids, bounds = enc.encode_column(b.column(1))
+            raw = memoryview(np.insert(ids, bounds[1:], end).astype("<u4", copy=False)).cast("B")  # the end id after each text
+            begin = bounds[:-1] + np.arange(b.num_rows)
+            n = np.diff(bounds) + 1
+            pieces = -(-n // size)
+            row = np.repeat(np.arange(b.num_rows), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            first = (n - 1) % size + 1
+            start = np.where(piece > 0, first[row] + (piece - 1) * size, 0)
+            length = np.where(piece > 0, size, first[row])
+            at = (4 * (begin[row] + start)).tolist()
+            sums = [zlib.crc32(raw[a : a + s]) for a, s in zip(at, (4 * length).tolist())]
+            bucket = np.array([zlib.crc32(str(i).encode()) % buckets for i in b.column(0).to_pylist()], np.int32)
+            cols = [b.column(0).take(pa.array(row)), pa.array(bucket[row]), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(sums, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, [f.split()[0] for f in PIECES.split(", ")])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, PIECES)
 

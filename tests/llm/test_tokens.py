@@ -1,8 +1,10 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -28,6 +30,24 @@ def test_round_trip_is_the_librarys(spark, odd_docs, table):
     assert len(got) == docs.count() and all((r.n_tokens, r.ids_sha256, r.decoded_sha256) == want[r.doc_id] for r in got)
 
 
+def test_any_mixture_is_the_librarys():
+    rng, lib, e = random.Random(3), Tokenizer.from_file(BPE), encoder(BPE)
+    signs = "aé×\n'1. \tüÀß日-_*x2\u00a0\u3000İ÷\x00\x1c\x7f"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(4_000)]
+    texts += ["ab\n\n\ncd\n\nEf\n", "tail ", " lead", "", "ab\n\ncd ef\n\n gh", "x " * 50_000, "<|endoftext|>" * 3, "w" * 100_000, "it's he'll 'ABC'"]
+    for part in (texts, texts[::-1]):  # the second time from the table
+        ids, bounds = e.encode_column(pa.array(part, pa.string()))
+        got = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert got == [x.ids for x in lib.encode_batch(part, add_special_tokens=False)]
+    e.table.clear()
+    e.table.bits = 6  # a table that is soon full
+    e.table.clear()
+    ids, bounds = e.encode_column(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [x.ids for x in lib.encode_batch(texts, add_special_tokens=False)]
+    e.table.bits = 20
+    e.table.clear()
+
+
 def test_every_token_is_its_own_encoding():
     e = encoder(BPE)
     words = [e.bytes_of[i] for i in e.ids]
