@@ -31,6 +31,8 @@ BODY_PHRASES = (
 )
 FUNCTION_WORDS = ("trong", "tại", "theo", "của", "và", "với", "về", "cho", "từ", "đến", "kèm", "bởi", "do", "hoặc", "như", "bằng")
 POINT_LETTERS = "abcdđeghiklmnopqrstuưvxy"
+CLAUSE_MARK = rf"(?:^|(?<=\s))(\d{{1,2}})\s*\.\s+(?=[{CLAUSE_UPPER}\d\"“(])"
+POINT_MARK = r"(?:^|(?<=\s))([a-zđư])\)\s+"
 
 # --- fixed values: protected tokens and blocks ---------------------------------------------------------------------
 TOKENS = (

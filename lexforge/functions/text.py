@@ -86,7 +86,6 @@ def words(c: Column) -> Column:
 def shingle_diversity(c: Column, n: int = 8) -> Column:
     """Distinct n-word shingles over all; 1 for fewer than 4 n words."""
 
-
     def share(w: Column) -> Column:
         grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), "\u0001"))
         return F.when(F.size(w) < 4 * n, 1.0).otherwise(let(grams, lambda g: F.size(F.array_distinct(g)) / F.size(g)))
@@ -144,6 +143,6 @@ def without_title(content: Column, title: Column) -> Column:
 def sentences(c: Column) -> Column:
     """Sentences of Vietnamese prose; abbreviations, initials and numbered runs don't end one."""
     names = "|".join(a.replace(".", r"\.") for a in P.ABBREVIATIONS)
-    guard = rf"(?<!(?<![\p{{L}}\p{{N}}_])(?:{names})\.)(?<!(?<![\p{{L}}\p{{N}}_])[{P.UPPER}]\.)(?<!\p{{Nd}}\.(?={S}{{1,64}}\p{{Nd}}))"
+    guard = rf"(?<!(?<![\p{{L}}\p{{N}}_])(?:{names})\.)(?<!(?<![\p{{L}}\p{{N}}_])[{P.UPPER}]\.)(?!(?<=\p{{Nd}}\.){S}*+\p{{Nd}})"
     parts = F.split(c, rf"(?<=[.!?]){guard}{S}+(?=[{P.UPPER}\p{{Nd}}\"“(\[])")
     return F.filter(F.transform(parts, strip), lambda s: s != "")
