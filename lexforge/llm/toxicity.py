@@ -1,18 +1,21 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in a block-max inverted index.
 
-Terms are the words, and the beginnings of words, that labelled toxic texts hold far more often than others (lower end
-of a confidence interval on their toxic share, counted over texts that aren't near copies of each other). All other
-words of a text together are one more term, so a text without telling words is nearest to examples without any.
-Cosines are exact in this space. Examples lie in blocks; each term keeps its largest weight in every block, which
-bounds the cosines a block can hold, and blocks are opened from the highest bound down until no bound reaches the k-th
-best cosine. The neighbours vote with weight 1 / (distance + margin); a logistic curve fitted to the examples' own
-leave-one-out votes (their near copies left out) turns the vote into a probability.
-
-The model is fitted on at most `max_examples` labelled rows, those with the smallest hashes of their ids, and on whole
-texts. Labels come only from rows that are not held out; lang, source and doc_id are no inputs of a score.
-
-Defined results: null text is empty; a text without words gets the examples' toxic share; equal cosines are taken in
-the examples' order; without labelled rows every score is 0.
+Every word of the examples is a dimension. A word's inverse document frequency is raised by how much it tells of toxic
+texts: by the lower end of a confidence interval on the toxic share of the examples that hold it, counted over texts that
+aren't near copies of each other. Beginnings of words that tell stand for words no example holds. Cosines are exact in
+this space. Examples lie in blocks, those with the same frequent word together; each term keeps its largest weight in
+every block, which bounds the cosines a block can hold. The blocks with the highest bounds are opened first, then those
+whose bound still reaches the k-th best cosine; no other can hold a neighbour. The neighbours vote with weight
+1 / (distance + margin); a logistic curve fitted to the examples' own leave-one-out votes (their near copies left out)
+turns the vote into a probability.
+
+The model is fitted on at most `max_examples` labelled rows, up to half of them toxic, each half those with the smallest
+hashes of their ids, and on whole texts; votes and the curve weigh them by the shares that the labels have. Labels come
+only from rows that are not held out; lang, source and doc_id are no inputs of a score. An example with the very words of
+a text (cosine 1) never votes on it, so the label of a text or of a copy of it doesn't enter its score.
+
+Defined results: null text is empty; a text without words of the examples gets the toxic share of the labels; equal
+cosines are taken in an order that doesn't know the labels; without labelled rows every score is 0.
 """
 
 from __future__ import annotations
@@ -31,15 +34,18 @@ from pyspark.sql import functions as F
 from ._common import held_out, held_out_expr, id_text, small_batches, text_chunks
 from .ngram_join import HASHES, min_hashes
 
-#: The bound on the labelled rows a model is fitted on, and on the terms it keeps.
-MAX_EXAMPLES = 15_000
-MAX_TERMS = 8_000
+#: The bound on the labelled rows a model is fitted on.
+MAX_EXAMPLES = 2_000
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks opened before any is left out.
+FIRST = 4
+#: How many times its weight a word has that only toxic texts hold.
+RAISE = 40.0
 #: Lengths of the beginnings of words that can be terms, the longest tried first.
 PREFIXES = (6, 5, 4)
 #: Words whose term a worker remembers.
-WORD_CACHE = 300_000
+WORD_CACHE = 200_000
 #: A document is predicted toxic from this score on.
 THRESHOLD = 0.7
 #: Added to a neighbour's distance before it is inverted.
@@ -97,129 +103,140 @@ def copy_groups(texts: list[str]) -> np.ndarray:
 
 
 class ToxicityModel:
-    def __init__(self, ids: list[int], texts: list[str], labels: list[int], k: int = NEIGHBOURS):
+    """toxic_share: that of all labelled rows; the examples may hold more toxic ones."""
+
+    def __init__(self, ids: list[int], texts: list[str], labels: list[int], toxic_share: float | None = None, k: int = NEIGHBOURS):
         self.k, self.n = k, len(ids)
-        self.prior = float(np.mean(labels)) if labels else 0.0
+        mine = float(np.mean(labels)) if labels else 0.0
+        self.prior = mine if toxic_share is None else toxic_share
         group = copy_groups(texts).tolist()
         self._choose_terms(texts, labels, group)
-        rows = [self.vector(Counter(words_of(t))) for t in texts]
+        rows = [self.vector(t) for t in texts]
         # equal cosines are taken in this order, so it must not know the labels
-        order = sorted(range(self.n), key=lambda i: (len(rows[i][0]), rows[i][0][:1].tolist(), xxhash.xxh64_intdigest(str(ids[i])), i))
+        common = set(np.argsort(-np.bincount(np.concatenate([np.zeros(0, np.int64), *(r[0] for r in rows)]), minlength=len(self.idf)), kind="stable")[:64].tolist())
+        lead = [next((t for t in r[0][np.argsort(-r[1], kind="stable")].tolist() if t in common), -1) for r in rows]
+        order = sorted(range(self.n), key=lambda i: (lead[i], xxhash.xxh64_intdigest(str(ids[i])), i))
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
-        self.group = np.array([group[i] for i in order], np.uint64)
+        self.group = np.array([group[i] for i in order], np.int64)
+        even = lambda share, y: share / max(mine, 1e-9) if y else (1 - share) / max(1 - mine, 1e-9)
+        self.share = np.array([even(self.prior, y) for y in self.labels])  # what each example stands for
         self._build_index([rows[i] for i in order])
         self.slope, self.shift = 1.0, 0.0
         self.known: dict[str, int] = {}
-        self.plain: dict[int, tuple] = {}
         if self.n:
             self._calibrate([rows[i] for i in order])
 
     def _choose_terms(self, texts: list[str], labels: list[int], group: list[int]) -> None:
-        """Toxic texts name the candidates, all texts count them; the words of one text at a time are in memory.
-
-        Of near copies with the same label one counts, so a clean text never stands for a toxic one.
-        """
-        with_beginnings = lambda words: {*words, *(w[:n] + "*" for n in PREFIXES for w in words if len(w) > n)}
-        seen, toxic = set(), Counter()
-        for t, y, g in zip(texts, labels, group):
-            if y and g not in seen:
-                seen.add(g)
-                toxic.update(with_beginnings(set(words_of(t))))
-        toxic = {t: n for t, n in toxic.items() if n >= 4}
-        seen, df, hits, n = set(), Counter(), Counter(), 0
+        """All words count, of near copies with the same label one; the words of one text at a time are in memory."""
+        begins = lambda words: {w[:n] + "*" for n in PREFIXES for w in words if len(w) > n}
+        seen, df, hits = set(), Counter(), Counter()
         for t, y, g in zip(texts, labels, group):
-            if (g, y) in seen:
-                continue
-            seen.add((g, y))
-            n += 1
-            terms = with_beginnings(set(words_of(t))).intersection(toxic)
-            df.update(terms)
-            if y:
-                hits.update(terms)
-        best = sorted(((-lower_share(a, df[t]), t) for t, a in hits.items() if a >= 4 and lower_share(a, df[t]) > 0.5))[:MAX_TERMS]
-        self.terms = {t: i + 1 for i, (_, t) in enumerate(sorted(best))}  # 0: all other words
-        self.idf = np.array([1.0, *(1 + math.log((n + 1) / (df[t] + 1)) for _, t in sorted(best))])
+            words = set(words_of(t))
+            df.update(dict.fromkeys(words.difference(df), 0))
+            if (g, y) not in seen:
+                seen.add((g, y))
+                df.update(words)
+                if y:
+                    hits.update(words)
+        n = len(seen)
+        telling = {t for t, a in hits.items() if a >= 4 and lower_share(a, df[t]) > 0.5}
+        starts, start_hits, seen = Counter(), Counter(), set()
+        wanted = begins(telling)
+        for t, y, g in zip(texts, labels, group):  # beginnings of telling words, counted like words
+            if (g, y) not in seen:
+                seen.add((g, y))
+                found = begins(set(words_of(t))) & wanted
+                starts.update(found)
+                if y:
+                    start_hits.update(found)
+        sure = {b: c for b, c in starts.items() if start_hits[b] >= 4 and lower_share(start_hits[b], c) > 0.5}
+        names = sorted([*df, *sure])
+        self.terms = {t: i for i, t in enumerate(names)}
+        count = np.array([max(sure.get(t, 0) or df[t], 1) for t in names], float)
+        toxic = np.array([start_hits[t] if t in sure else hits[t] for t in names], float)
+        tells = np.array([max(0.0, lower_share(int(a), int(c)) - 0.5) * 2 if a >= 4 else 0.0 for a, c in zip(toxic, count)])
+        self.idf = np.log((n + 1) / count) * (1 + RAISE * tells) if names else np.zeros(0)
 
     def term(self, word: str) -> int:
-        """The term of a word: itself, its longest beginning among the terms, or 0."""
+        """The term of a word: itself or its longest beginning among the terms; -1 without one."""
         t = self.terms.get(word)
         for n in PREFIXES:
             if t is None and len(word) > n:
                 t = self.terms.get(word[:n] + "*")
-        return t or 0
-
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights of unit length; empty without words."""
-        tf: dict[int, int] = {}
-        for w, n in counts.items():
-            t = self.term(w)
-            tf[t] = tf.get(t, 0) + n
-        terms = np.array(sorted(tf), np.int64)
-        weights = self.idf[terms] * (1 + np.log([tf[t] for t in terms.tolist()])) if len(terms) else np.zeros(0)
+        return -1 if t is None else t
+
+    def vector(self, text: str, known: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and weights of unit length; empty without words of the examples."""
+        words = words_of(text)
+        known = {} if known is None else known
+        found = list(map(known.get, words))
+        if None in found:
+            for i, t in enumerate(found):
+                if t is None:
+                    found[i] = t = self.term(words[i])
+                    if len(known) < WORD_CACHE:
+                        known[words[i]] = t
+        terms, counts = np.unique(np.array(found, np.int64), return_counts=True)
+        terms, counts = terms[terms >= 0], counts[terms >= 0]
+        weights = self.idf[terms] * (1 + np.log(counts))
         norm = np.linalg.norm(weights)
         return terms, weights / norm if norm else weights
 
     def _build_index(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        n_terms, blocks = len(self.idf), -(-self.n // BLOCK)
+        n_terms, self.blocks = len(self.idf), -(-self.n // BLOCK)
         term = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int64)
         weight = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0)
         example = np.repeat(np.arange(self.n), [len(r[0]) for r in rows]) if rows else np.zeros(0, np.int64)
         order = np.lexsort((example, term))
-        term, self.post_weight, self.post_example = term[order], weight[order], example[order]
-        cell = term * blocks + self.post_example // BLOCK
-        self.cell_start = np.searchsorted(cell, np.arange(n_terms * blocks + 1))
-        self.block_max = np.zeros(n_terms * blocks)
-        np.maximum.at(self.block_max, cell, self.post_weight)
-        self.block_max = self.block_max.reshape(n_terms, blocks)
+        term, self.post_weight, self.post_example = term[order], weight[order], example[order].astype(np.int32)
+        cell = term * self.blocks + self.post_example // BLOCK
+        self.cell_start = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1)).astype(np.int32)
+        most = np.zeros(n_terms * self.blocks)
+        np.maximum.at(most, cell, self.post_weight)
+        self.block_max = np.nextafter(most.astype(np.float32), np.float32(2)).reshape(n_terms, max(self.blocks, 1) if n_terms else self.blocks)
+
+    def _cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Cosines of all examples, 0 outside these blocks; terms are added in their order, so copies get equal ones."""
+        cells = (terms[:, None] * self.blocks + blocks).reshape(-1)
+        begin = self.cell_start[cells].astype(np.int64)
+        sizes = self.cell_start[cells + 1] - begin
+        at = np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        return np.bincount(self.post_example[at], self.post_weight[at] * np.repeat(np.repeat(weights, len(blocks)), sizes), minlength=self.n)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples and their cosines, exactly; `without` leaves a group of near copies out."""
+        """The k nearest examples and their cosines, exactly; copies of the text are left out, as is a group of near copies."""
         if not len(terms) or not self.n:
             return np.zeros(0, np.int64), np.zeros(0)
-        blocks = self.block_max.shape[1]
         bounds = weights @ self.block_max[terms]
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1] - 1e-12:
-                break
-            lo = b * BLOCK
-            scores = np.zeros(min(BLOCK, self.n - lo))
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                s, e = self.cell_start[t * blocks + b], self.cell_start[t * blocks + b + 1]
-                if e > s:
-                    scores[self.post_example[s:e] - lo] += w * self.post_weight[s:e]
-            found = np.flatnonzero(scores > 0) if without is None else np.flatnonzero((scores > 0) & (self.group[lo : lo + BLOCK] != np.uint64(without)))
-            ids, scores = np.concatenate([best_ids, found + lo]), np.concatenate([best, scores[found]])
-            keep = np.lexsort((ids, -np.round(scores, 12)))[:k]
-            best_ids, best = ids[keep], scores[keep]
-        return best_ids, best
+        order = np.argsort(-bounds, kind="stable")
+        found = self._cosines(terms, weights, np.sort(order[:FIRST]))
+        allowed = lambda c: np.flatnonzero((c > 0) & (c < 1 - 1e-9) & (True if without is None else self.group != without))
+        best = allowed(found)
+        edge = np.partition(found[best], len(best) - k)[len(best) - k] if len(best) >= k else 0.0
+        more = order[FIRST:][bounds[order[FIRST:]] >= edge - 1e-6]
+        if len(more):
+            found = found + self._cosines(terms, weights, np.sort(more))
+            best = allowed(found)
+        near = best[np.lexsort((best, -np.round(found[best], 12)))[:k]]
+        return near, found[near]
 
     def vote(self, ids: np.ndarray, cosines: np.ndarray) -> float:
         if not len(ids):
             return self.prior
-        w = 1 / (1 - np.minimum(cosines, 1) + MARGIN)
+        w = self.share[ids] / (1 - np.minimum(cosines, 1) + MARGIN)
         return float((w @ self.labels[ids] + self.prior) / (w.sum() + 1))
 
     def _calibrate(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Logistic curve over the logits of leave-one-out votes, by Newton's method with a slight pull to the identity."""
-        votes = []
-        plain = None
-        for i, (terms, weights) in enumerate(rows):
-            if len(terms) == 1 and not terms[0]:
-                if plain is None:
-                    plain = self.vote(*self.nearest(terms, weights, self.k))
-                votes.append(plain)
-            else:
-                votes.append(self.vote(*self.nearest(terms, weights, self.k, int(self.group[i]))))
-        p = np.clip(votes, 1e-3, 1 - 1e-3)
-        x = np.log(p / (1 - p))
-        loss = lambda v: float(np.logaddexp(0, -(2 * self.labels - 1) * (v[0] * x + v[1])).sum() + ((v[0] - 1) ** 2 + v[1] ** 2) / 2)
+        p = np.clip([self.vote(*self.nearest(*r, self.k, int(g))) for r, g in zip(rows, self.group)], 1e-3, 1 - 1e-3)
+        x, y, w = np.log(p / (1 - p)), self.labels, self.share
+        loss = lambda v: float(w @ np.logaddexp(0, -(2 * y - 1) * (v[0] * x + v[1])) + ((v[0] - 1) ** 2 + v[1] ** 2) / 2)
         at = np.array([1.0, 0.0])
         for _ in range(25):
             q = 1 / (1 + np.exp(-np.clip(at[0] * x + at[1], -50, 50)))
-            g = np.array([(q - self.labels) @ x + at[0] - 1, (q - self.labels).sum() + at[1]])
-            s = q * (1 - q)
+            g = np.array([w @ ((q - y) * x) + at[0] - 1, w @ (q - y) + at[1]])
+            s = w * q * (1 - q)
             step = np.linalg.solve(np.array([[s @ (x * x) + 1, s @ x], [s @ x, s.sum() + 1]]), g)
             while loss(at - step) > loss(at) and np.abs(step).max() > 1e-9:
                 step = step / 2
@@ -232,44 +249,28 @@ class ToxicityModel:
         """Probability, neighbours and their cosines."""
         if not self.n:
             return 0.0, np.zeros(0, np.int64), np.zeros(0)
-        words, known = words_of(text), self.known
-        found = list(map(known.get, words))
-        if None in found:
-            for i, t in enumerate(found):
-                if t is None:
-                    found[i] = t = self.term(words[i])
-                    if len(known) < WORD_CACHE:
-                        known[words[i]] = t
-        telling = Counter(filter(None, found))
-        other = len(words) - telling.total()
-        if not telling and other:
-            if 0 not in self.plain:
-                self.plain[0] = self._scored(np.zeros(1, np.int64), np.ones(1))
-            return self.plain[0]
-        if other:
-            telling[0] = other
-        terms = np.array(sorted(telling), np.int64)
-        weights = self.idf[terms] * (1 + np.log([telling[t] for t in terms.tolist()])) if len(terms) else np.zeros(0)
-        return self._scored(terms, weights / np.linalg.norm(weights) if len(terms) else weights)
-
-    def _scored(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        ids, cosines = self.nearest(terms, weights, self.k)
+        ids, cosines = self.nearest(*self.vector(text, self.known), self.k)
+        if not len(ids):
+            return self.prior, ids, cosines
         p = min(max(self.vote(ids, cosines), 1e-3), 1 - 1e-3)
         return 1 / (1 + math.exp(-(self.slope * math.log(p / (1 - p)) + self.shift))), ids, cosines
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
-    """A model from at most max_examples labelled rows that are not held out."""
+    """A model from at most max_examples labelled rows that are not held out, half of them toxic if there are as many."""
     truth = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     truth = truth.where(~held_out_expr()).groupBy("doc_id").agg(F.max("y").alias("y"))
-    chosen = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
-    rows = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").limit(max_examples).toArrow().to_pydict()
-    return ToxicityModel(rows["doc_id"], rows["text"], rows["y"])
+    by_class = dict.fromkeys((0, 1), 0) | {r["y"]: r["n"] for r in truth.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    toxic = min(by_class[1], max(max_examples // 2, max_examples - by_class[0]))
+    chosen = [truth.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, toxic), (0, max_examples - toxic))]
+    rows = id_text(docs, id_col, text_col).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").orderBy("doc_id", "text").limit(max_examples).toArrow().to_pydict()
+    total = sum(by_class.values())
+    return ToxicityModel(rows["doc_id"], rows["text"], rows["y"], by_class[1] / total if total else 0.0)
 
 
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted and the evidence: the nearest examples with their cosines and labels."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most max_examples rows and MAX_TERMS terms
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the words of at most max_examples texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
