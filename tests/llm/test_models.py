@@ -93,11 +93,32 @@ def test_language(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in langid.language_id(odd_docs, langid.fit(no_docs)).collect()} == {"und"}
 
 
-def test_folded_weights_equal_the_kernel(spark):
-    texts, langs = ["the cat and the dog", "der hund und die katze", "the house", "das haus"], ["en", "de", "en", "de"]
+def test_margins_are_those_of_the_kernel_route(spark):
+    """Presence kernels of the texts' n-grams with every landmark, the Nyström map and the ridge weights, all from sets."""
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").where("lang is not null").orderBy("doc_id").limit(120).collect()
+    texts, langs = [r.text or "" for r in rows[:90]], [r.lang for r in rows[:90]]
+    m = langid.LanguageModel(texts, langs, landmarks=20)
+
+    def grams(text):
+        flat = "".join(c if c.isalpha() else " " for c in text.lower())
+        return {flat[i : i + n] for n in (1, 2, 3) for i in range(len(flat) - n + 1)}
+
+    mark = langid.Marker()
+    hashed = lambda text: set(mark.grams(text).tolist())
+    marks = [hashed(texts[i]) for i in m.chosen]
+    asked = [r.text or "" for r in rows[90:]] + ["ß", "Ελληνικά γράμματα", "日本語の文"]
+    for text, got in zip(asked, m.margins(asked, mark)):
+        mine = hashed(text)
+        assert 0.98 * len(grams(text)) <= len(mine) <= len(grams(text))  # hardly any n-grams share a hash
+        kernel = np.array([len(mine & x) / math.sqrt(len(mine) * len(x)) for x in marks])
+        assert np.allclose(kernel @ m.root @ m.ridge[:-1] + m.ridge[-1], got, atol=1e-4)
+
+
+def test_scripts_beyond_latin():
+    texts = ["это русский текст и слова", "ещё один русский текст", "这是中文文本和词语", "另一个中文的句子", "これは日本語の文です", "もう一つの日本語の文", "이것은 한국어 문장", "또 다른 한국어 글"]
+    langs = ["ru", "ru", "zh", "zh", "ja", "ja", "ko", "ko"]
     m = langid.LanguageModel(texts, langs)
-    flags = np.zeros(m.alphabet.grams, np.uint8)
-    assert m.predict(texts, flags)[0] == langs
+    assert m.predict(["русские слова", "中文词语", "日本語です", "한국어 글", "123 !", ""], langid.Marker())[0] == ["ru", "zh", "ja", "ko", "und", "und"]
 
 
 def test_neighbours(spark):
