@@ -95,11 +95,16 @@ def registry(spark: SparkSession) -> DataFrame:
 
 
 def findings(flagged: DataFrame, bad_json: int = 0) -> DataFrame:
-    """(check, severity, count, share, meaning, ord) of all checks; share is in percent of the scored rows."""
+    """(check, severity, count, share, meaning, ord, place) of all checks; share is in percent of the scored rows.
+
+    place orders them for a report: by severity, within it the most frequent first.
+    """
     sums = flagged.agg(F.count_if("scored").alias("n"), *(F.count_if(n).alias(n) for n in FLAGS))
     long_ = sums.withColumn("bad_json", F.lit(bad_json).cast("long")).unpivot(["n"], [n for n, _, _ in P.CHECKS], "check", "count")
     share = F.bround(F.lit(100.0) * F.col("count") / F.greatest(F.col("n"), F.lit(1)), 2)
-    return registry(flagged.sparkSession).join(long_, "check").select("check", "severity", "count", share.alias("share"), "meaning", "ord")
+    rank = F.array_position(F.array(*map(F.lit, ("FATAL", "RAG", "TRAINING", "INFO"))), F.col("severity"))
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(rank, F.desc("count"), "ord"))  # one row a check
+    return registry(flagged.sparkSession).join(long_, "check").select("check", "severity", "count", share.alias("share"), "meaning", "ord", place.alias("place"))
 
 
 def length_stats(flagged: DataFrame, column: str = "n_chars", prefix: str = "") -> DataFrame:

@@ -15,6 +15,7 @@ from ..functions import patterns as P
 from ..functions import text as T
 from ..operators import articles, audit, breakage, corpus, fidelity, sft, splitter
 from ..sources import jsonl
+from . import planted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as chunks; the source is the link."""
+    """Documents as chunks, the source as link, and planted ones that every check hits some of."""
     d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("chunk_id"), F.col("doc_id").cast("string").alias("doc_id"), F.col("source").alias("link"), F.lit("").alias("name"), F.col("lang").alias("structure"), F.lit("").alias("dieu"), F.col("text").alias("content"), F.col("n_chars").alias("char_len"))
+    one = F.lit(None).cast("string")
+    rows = d.select(F.col("doc_id").cast("long").alias("seq"), F.col("doc_id").cast("string").alias("chunk_id"), F.col("doc_id").cast("string").alias("doc_id"), F.col("source").alias("link"), F.lit("").alias("name"), F.col("lang").alias("structure"), F.lit("").alias("dieu"), one.alias("part"), F.lit(None).cast("boolean").alias("title_confident"), F.col("text").alias("content"), F.col("n_chars").cast("long").alias("char_len"))
+    return rows.unionByName(planted.planted(spark, sf_dir, planted.AUDIT_ROWS, "part"))
+
+
+def bad_lines(spark: SparkSession, sf_dir: str) -> int:
+    """Lines of the planted JSON lines that hold no object."""
+    return planted_lines(spark, sf_dir).where(F.col("status").isin("bad_json", "not_an_object")).count()
 
 
 def line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +55,7 @@ def audit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = audit.flag_chunks(document_chunks(spark, sf_dir))
-    return audit.findings(flagged).select("check", "severity", "count", "share")
+    return audit.findings(flagged, bad_lines(spark, sf_dir)).select("check", "severity", "count", "share", "place")
 
 
 def audit_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,13 +89,11 @@ def document_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fidelity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long_lines = line_chunks(spark, sf_dir).where(F.length("content") >= 200)
-    return fidelity.fidelity_report(table(spark, sf_dir, "documents"), long_lines)
+    return fidelity.fidelity_report(table(spark, sf_dir, "documents"), line_chunks(spark, sf_dir))
 
 
 def document_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long_lines = line_chunks(spark, sf_dir).where(F.length("content") >= 200)
-    return fidelity.document_fidelity(table(spark, sf_dir, "documents"), long_lines).select("doc_id", "source_chars", "chunk_chars", "n_chunks")
+    return fidelity.document_fidelity(table(spark, sf_dir, "documents"), line_chunks(spark, sf_dir)).select("doc_id", "source_chars", "chunk_chars", "n_chunks")
 
 
 def boundary_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,11 +116,15 @@ def article_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.select("p_partkey", "n", "question")
 
 
-def json_line_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+def planted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.pmod("doc_id", F.lit(4))
     line = F.when(kinds == 0, F.to_json(F.struct("doc_id", "text"))).when(kinds == 1, "  ").when(kinds == 2, F.concat(F.lit("{"), F.col("text"))).otherwise(F.to_json(F.array("source")))
     lines = table(spark, sf_dir, "documents").select(line.alias("line"))
-    return jsonl.parse(lines).groupBy("status").count().withColumnRenamed("count", "n")
+    return jsonl.parse(lines)
+
+
+def json_line_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planted_lines(spark, sf_dir).groupBy("status").count().withColumnRenamed("count", "n")
 
 
 def text_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +139,7 @@ def training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (audit_flags, audit_findings, audit_samples, audit_lengths, audit_report, clean_training_rows, link_names, clean_texts, document_split, fidelity_report, document_fidelity, boundary_defects, order_article_rows, order_chunks, article_questions, json_line_states, text_pieces, training_examples)}
+    return {f.__name__: f for f in (audit_flags, audit_findings, audit_samples, audit_lengths, audit_report, clean_training_rows, link_names, clean_texts, document_split, fidelity_report, document_fidelity, boundary_defects, order_article_rows, order_chunks, article_questions, json_line_states, text_pieces, training_examples)} | planted.queries()
 
 
 # --- SQL ---------------------------------------------------------------------------------------------------------
@@ -141,7 +151,8 @@ def _flags_sql() -> str:
     plates = " OR ".join(f"contains(c, '{m}')" for m in P.BOILERPLATE)
     return rf"""
 WITH base AS (
-  SELECT doc_id AS seq, coalesce(text, '') AS c, source AS link, n_chars AS char_len, lang AS structure FROM documents
+  SELECT CAST(doc_id AS BIGINT) AS seq, CAST(doc_id AS VARCHAR) AS chunk_id, coalesce(text, '') AS c, source AS link, '' AS name, n_chars AS char_len, lang AS structure, '' AS dieu, NULL AS part, NULL AS title_confident FROM documents
+  UNION ALL SELECT seq, chunk_id, content, link, name, char_len, structure, dieu, part, title_confident FROM ({planted.AUDIT_ROWS})
 ), sized AS (
   SELECT *, length(c) AS n_chars, trim(regexp_replace(c, '{WS}+', ' ', 'g')) <> '' AS scored,
          greatest(1, CAST(round_even(length(c) / 2.4, 0) AS INT)) AS n_tokens,
@@ -153,12 +164,12 @@ WITH base AS (
          list_transform(range(1, greatest(len(w) - 6, 2)), lambda i: array_to_string(w[i:i + 7], chr(1))) AS grams FROM sized
 ), firsts AS (
   SELECT *, min(CASE WHEN scored THEN seq END) OVER (PARTITION BY c) AS f0, min(CASE WHEN scored THEN seq END) OVER (PARTITION BY near) AS f1,
-         min(CASE WHEN scored THEN seq END) OVER (PARTITION BY template) AS f2 FROM keyed
+         min(CASE WHEN scored THEN seq END) OVER (PARTITION BY template) AS f2, min(seq) OVER (PARTITION BY coalesce(nullif(chunk_id, ''), 'line' || seq)) AS fc, trim(regexp_replace(coalesce(dieu, ''), '{WS}+', ' ', 'g')) = '' AS untitled FROM keyed
 ), flags AS (
-  SELECT seq, c, structure, scored, n_chars, n_tokens, false AS dup_chunk_id, NOT scored AS empty_content, char_len IS DISTINCT FROM n_chars AS char_len_mismatch,
-    scored AND n_tokens > 512 AS over_budget, scored AS no_dieu, false AS title_guessed, scored AND coalesce(link, '') = '' AS no_link,
+  SELECT seq, chunk_id, c, structure, scored, n_chars, n_tokens, seq > fc AS dup_chunk_id, NOT scored AS empty_content, char_len IS DISTINCT FROM n_chars AS char_len_mismatch,
+    scored AND n_tokens > 512 AS over_budget, scored AND untitled AS no_dieu, scored AND title_confident IS NOT DISTINCT FROM false AS title_guessed, scored AND coalesce(link, '') = '' AND coalesce(name, '') = '' AS no_link,
     scored AND (regexp_matches(c, '^{WS}*[);,–+-]') OR regexp_matches(regexp_extract(c, '\p{{L}}'), '^\p{{Ll}}')) AS fragment_start,
-    false AS orphan_part, scored AND len(regexp_extract_all(c, 'Điều{WS}+\p{{Nd}}{{1,3}}{WS}*[.:]')) >= 4 AS toc,
+    scored AND coalesce(TRY_CAST(part AS INT), 1) > 1 AND NOT untitled AND instr(left(c, length(dieu) + 40), left(dieu, 24)) = 0 AS orphan_part, scored AND len(regexp_extract_all(c, '(?:^|[^{P.LOWER}] |[^ ])Điều{WS}+\p{{Nd}}{{1,3}}{WS}*[.:]')) >= 4 AS toc,
     scored AND n_chars < 600 AND ({plates}) AS boilerplate, scored AND n_chars < 120 AS too_short,
     scored AND seq > f0 AS exact_dup, scored AND seq = f0 AND seq > f1 AS near_dup, scored AND seq = f1 AND seq > f2 AS template_dup,
     scored AND n_chars > 80 AND len(regexp_extract_all(c, '[\p{{Nd}}.,;:/()\[\]%–—-]')) / n_chars > 0.35 AS junk_ratio,
@@ -176,13 +187,14 @@ def _lines_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     flags, lines = _flags_sql(), _lines_sql()
     names = ", ".join(audit.FLAGS)
-    checks = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", '{s}' AS severity, {'0' if n == 'bad_json' else f'count(*) FILTER (WHERE {n})'} AS count, count(*) FILTER (WHERE scored) AS n FROM flags" for n, s, _ in P.CHECKS)
-    hit_rows = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", '{s}' AS severity, seq, n_chars, c FROM flags WHERE {n}" for n, s, _ in P.CHECKS if n != "bad_json")
+    bad_count = "(SELECT count(*) FROM documents WHERE doc_id % 4 IN (2, 3))"
+    checks = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", '{s}' AS severity, {bad_count if n == 'bad_json' else f'count(*) FILTER (WHERE {n})'} AS count, count(*) FILTER (WHERE scored) AS n, {i} AS ord FROM flags" for i, (n, s, _) in enumerate(P.CHECKS))
+    hit_rows = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", '{s}' AS severity, seq, chunk_id, n_chars, c FROM flags WHERE {n}" for n, s, _ in P.CHECKS if n != "bad_json")
     bad = " OR ".join(n for n in (*audit.FATAL, *audit.PROFILES["train"]) if n != "bad_json")
     flat = r"regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', '', 'g')"
     source, body = flat.format("text"), flat.format("content")
     fidelity_ctes = f"""WITH {lines}, src AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, {source} AS whole FROM documents),
-bodies AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, {body} AS flat FROM lines WHERE length(content) >= 200),
+bodies AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, {body} AS flat FROM lines WHERE trim(content, chr(9) || chr(10) || chr(13) || ' ') <> ''),
 per AS (SELECT doc_id, sum(length(flat)) AS chunk_chars, count(*) AS n_chunks FROM bodies GROUP BY doc_id),
 joined AS (SELECT doc_id, length(whole) AS source_chars, chunk_chars, n_chunks, CASE WHEN length(whole) > 0 THEN chunk_chars / length(whole) END AS retention FROM src LEFT JOIN per USING (doc_id))"""
     strip = rf"regexp_replace(content, '^{WS}+|{WS}+$', '', 'g')"
@@ -207,10 +219,10 @@ joined AS (SELECT doc_id, length(whole) AS source_chars, chunk_chars, n_chunks,
         f"{where} || ' quy định về vấn đề gì?'", f"'Nội dung ' || {where} || ' là gì?'",
         "'Pháp luật quy định thế nào về ' || lower(left(trim(p_name), 1)) || substr(trim(p_name), 2) || '?'", "trim(p_name) || ' được quy định ra sao trong Nghị định 10/2012/NĐ-CP?'",
     ]
-    return {
+    return planted.oracle_sql() | {
         "audit_flags": f"{flags} SELECT seq, n_chars, n_tokens, {names} FROM flags",
-        "audit_findings": f"{flags} SELECT \"check\", severity, count, round_even(100.0 * count / greatest(n, 1), 2) AS share FROM ({checks})",
-        "audit_samples": f"{flags} SELECT \"check\", rank, CAST(seq AS VARCHAR) AS chunk_id, severity, n_chars AS chars, length(left(c, 400)) AS shown FROM (SELECT *, row_number() OVER (PARTITION BY \"check\" ORDER BY seq) AS rank FROM ({hit_rows})) WHERE rank <= 5",
+        "audit_findings": f"{flags} SELECT \"check\", severity, count, round_even(100.0 * count / greatest(n, 1), 2) AS share, row_number() OVER (ORDER BY list_position(['FATAL', 'RAG', 'TRAINING', 'INFO'], severity), count DESC, ord) AS place FROM ({checks})",
+        "audit_samples": f"{flags} SELECT \"check\", rank, chunk_id, severity, n_chars AS chars, length(left(c, 400)) AS shown FROM (SELECT *, row_number() OVER (PARTITION BY \"check\" ORDER BY seq) AS rank FROM ({hit_rows})) WHERE rank <= 5",
         "audit_lengths": f"{flags} SELECT min(n_chars) AS min, quantile_disc(n_chars, 0.25) AS p25, quantile_disc(n_chars, 0.5) AS median, quantile_disc(n_chars, 0.75) AS p75, quantile_disc(n_chars, 0.95) AS p95, max(n_chars) AS max, CAST(round_even(avg(n_chars), 0) AS BIGINT) AS mean, CAST(sum(n_chars) AS BIGINT) AS total FROM flags WHERE scored",
         "audit_report": f"{flags} SELECT count(*) AS rows_read, count(*) FILTER (WHERE scored) AS chunks_scored, quantile_disc(n_chars, 0.95) FILTER (WHERE scored) AS p95, CAST(sum(n_tokens) FILTER (WHERE scored) AS BIGINT) AS total_tokens, count(*) FILTER (WHERE exact_dup) AS exact_dups, bool_or(dup_chunk_id OR empty_content OR char_len_mismatch) AS failed FROM flags",
         "clean_training_rows": f"{flags} SELECT seq FROM flags WHERE NOT ({bad})",
