@@ -65,7 +65,7 @@ def test_nearest_examples_are_those_of_the_texts(spark):
 
     examples = [unit(texts[i]) for i in model.ids.tolist()]
     words = {w for i in model.ids.tolist() for w in re.findall(r"\w+", texts[i].lower())}
-    assert words <= set(model.terms) and len(examples) > 200  # no word is left out
+    assert all(model.term(w) >= 0 for w in words) and len(examples) > 200  # no word is left out
     scored = {}
     for i in sorted(texts)[:150]:
         v = unit(texts[i])
