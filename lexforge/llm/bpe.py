@@ -1,7 +1,8 @@
 """BPE encoding and decoding by per-prefix dynamic programming.
 
-For every prefix of a word exactly one token can come last in its encoding. A suffix automaton over the vocabulary gives
-the longest token that ends at each position, and each token its longest proper suffix among the tokens; a token is the last one of a prefix when it begins where a shorter
+For every prefix of a word exactly one token can come last in its encoding. The suffix automaton of the vocabulary gives,
+at each position, the longest suffix read that any token holds, and by it the longest token that ends there; each token
+knows its longest proper suffix among the tokens. A token is the last one of a prefix when it begins where a shorter
 prefix ends and the two tokens are *compatible*: merging by rank their joined bytes gives these two tokens again.
 Following the stored last tokens backwards from the end of the word yields the ids.
 
@@ -129,52 +130,89 @@ class PrefixEncoder:
         self.table = PieceTable(self.encode_rows, self.encode_pieces, self.encode, tuple(self.special))
 
     def _build_automaton(self, rank: dict[bytes, int]) -> None:
-        """States are the prefixes of tokens; following bytes leads to the longest prefix that the text read ends with."""
-        go: dict[int, int] = {}
-        token_at, levels = [-1], [[]]
-        for name, t in rank.items():
-            s = 0
-            for d, b in enumerate(name, 1):
-                n = go.get(s << 8 | b)
-                if n is None:
-                    n = go[s << 8 | b] = len(token_at)
-                    token_at.append(-1)
-                    if d == len(levels):
-                        levels.append([])
-                    levels[d].append((n, s, b))
-                s = n
-            token_at[s] = t
-        back, longest, shorter = [0] * len(token_at), [-1] * len(token_at), [-1] * len(rank)
-        for level in levels[1:]:
-            for n, s, b in level:
-                f = back[s]
-                while s and (x := go.get(f << 8 | b)) is None:
-                    f = back[f]
-                back[n] = x if s else 0
-                t, below = token_at[n], longest[back[n]]
-                longest[n] = below if t < 0 else t
-                if t >= 0:
-                    shorter[t] = below
+        """The suffix automaton of the vocabulary: following bytes leads to the class of the longest suffix of the text read
+        that some token holds. Each class knows the longest token that its strings end with, each token the next shorter."""
+        go: list[dict[int, int]] = [{}]
+        link, most = [-1], [0]  # of each class: the class of its next shorter suffixes, and its longest string
+
+        def add(ways: dict[int, int], length: int, suffix: int) -> int:
+            go.append(ways)
+            most.append(length)
+            link.append(suffix)
+            return len(go) - 1
+
+        def split(p: int, b: int, q: int) -> int:
+            """A class of its own for the strings of q that are one byte longer than those of p."""
+            new = add(go[q].copy(), most[p] + 1, link[q])
+            link[q] = new
+            while p >= 0 and go[p].get(b) == q:
+                go[p][b] = new
+                p = link[p]
+            return new
+
+        def extend(last: int, b: int) -> int:
+            """The class of a class's longest string and one more byte."""
+            q = go[last].get(b)
+            if q is not None:
+                return q if most[q] == most[last] + 1 else split(last, b, q)
+            new, p = add({}, most[last] + 1, 0), last
+            while p >= 0 and b not in go[p]:
+                go[p][b] = new
+                p = link[p]
+            if p >= 0:
+                q = go[p][b]
+                link[new] = q if most[q] == most[p] + 1 else split(p, b, q)
+            return new
+
+        for name in rank:
+            state = 0
+            for b in name:
+                state = extend(state, b)
+        tokens_at: dict[int, list[int]] = {}
+        for name, t in rank.items():  # classes may have been split since a token was added
+            state = 0
+            for b in name:
+                state = go[state][b]
+            tokens_at.setdefault(state, []).append(t)
+        lengths = {t: len(n) for n, t in rank.items()}
+        longest, shorter = [-1] * len(go), [-1] * len(rank)
+        for state in sorted(range(1, len(go)), key=most.__getitem__):
+            below = longest[link[state]]
+            for t in sorted(tokens_at.get(state, ()), key=lengths.__getitem__):
+                shorter[t], below = below, t
+            longest[state] = below
         self.go = IntMap(19)
-        self.go.add(np.fromiter(go, np.int64, len(go)), np.fromiter(go.values(), np.int32, len(go)))
-        self.back, self.longest, self.shorter = np.array(back, np.int32), np.array(longest, np.int32), np.array(shorter, np.int32)
+        self.go.add(np.array([s << 8 | b for s, ways in enumerate(go) for b in ways], np.int64), np.array([q for ways in go for q in ways.values()], np.int32))
+        self.back, self.most = np.maximum(np.array(link, np.int32), 0), np.array(most, np.int32)
+        self.longest, self.shorter = np.array(longest, np.int32), np.array(shorter, np.int32)
         self.length = np.zeros(len(rank), np.int32)
         self.length[list(rank.values())] = [len(n) for n in rank]
         self.id_array = np.array(self.ids, np.uint32)
         self.pair_map = IntMap(20)
 
-    def step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
-        """States after one more byte; without a way on, a state first falls back to shorter prefixes (the root always has one)."""
+    def step(self, state: np.ndarray, match: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States and lengths of the match after one more byte; without a way on, a state falls back to shorter suffixes
+        (the root has a way for every byte)."""
         out = self.go.get(state.astype(np.int64) << 8 | byte)
+        match = match + 1
         rest = np.flatnonzero(out < 0)
         at = state[rest]
         while len(rest):
             at = self.back[at]
             got = self.go.get(at.astype(np.int64) << 8 | byte[rest])
-            out[rest] = got
+            out[rest], match[rest] = got, self.most[at] + 1
             on = got < 0
             rest, at = rest[on], at[on]
-        return out
+        return out, match
+
+    def last_tokens(self, state: np.ndarray, match: np.ndarray) -> np.ndarray:
+        """The longest token that each match ends with."""
+        token = self.longest[state].copy()
+        rest = np.flatnonzero(self.length[token] > match)
+        while len(rest):
+            token[rest] = self.shorter[token[rest]]
+            rest = rest[self.length[token[rest]] > match[rest]]
+        return token
 
     def all_compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         keys = a.astype(np.int64) << 20 | b
@@ -256,11 +294,11 @@ class PrefixEncoder:
         rows = len(sizes)
         width = int(sizes[-1]) if rows else 0
         last = np.zeros((width + 1, rows), np.int32)
-        state = np.zeros(rows, np.int32)
+        state, match = np.zeros(rows, np.int32), np.zeros(rows, np.int32)
         for end in range(1, width + 1):
             first = int(np.searchsorted(sizes, end))  # shorter words are done
-            state[first:] = self.step(state[first:], text[end - 1, first:])
-            open_, token = np.arange(first, rows), self.longest[state[first:]]
+            state[first:], match[first:] = self.step(state[first:], match[first:], text[end - 1, first:])
+            open_, token = np.arange(first, rows), self.last_tokens(state[first:], match[first:])
             while len(open_):
                 begin = end - self.length[token]
                 last[end, open_] = token

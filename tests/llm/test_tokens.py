@@ -48,6 +48,21 @@ def test_any_mixture_is_the_librarys():
     e.table.clear()
 
 
+def test_automaton_finds_the_longest_token_at_each_place():
+    e = encoder(BPE)
+    tokens = set(e.bytes_of)
+    text = "The   quick brúwn—fox jumps; antidisestablishmentarianism 日本 12345\n\n  return self.__init__()".encode()
+    state, match = np.zeros(1, np.int32), np.zeros(1, np.int32)
+    names = [e.bytes_of[i] for i in e.ids]
+    for end in range(1, len(text) + 1):
+        state, match = e.step(state, match, np.array([text[end - 1]], np.uint8))
+        found = names[int(e.last_tokens(state, match)[0])]
+        assert found == next(text[a:end] for a in range(end) if text[a:end] in tokens)
+        shorter = int(e.shorter[e.last_tokens(state, match)[0]])
+        rest = [found[a:] for a in range(1, len(found)) if found[a:] in tokens]
+        assert (names[shorter] if shorter >= 0 else None) == (rest[0] if rest else None)
+
+
 def test_every_token_is_its_own_encoding():
     e = encoder(BPE)
     words = [e.bytes_of[i] for i in e.ids]
