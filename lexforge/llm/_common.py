@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,21 +46,43 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/lexforge/{uuid.uuid4().hex}"
 
 
+#: Tables made since each finish() that is still going on began.
+_MADE: list[list[DataFrame]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to a table in the shared folder and read it back: later stages no longer depend on its lineage."""
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    if _MADE:
+        _MADE[-1].append(out)
+    return out
+
+
+def finish(build: Callable[[], DataFrame]) -> DataFrame:
+    """cut(build()); the tables that were made on the way, which nothing needs any more, go."""
+    _MADE.append([])
+    try:
+        out = cut(build())
+    finally:
+        made = _MADE.pop()
+    for table_ in made:
+        if table_ is not out:
+            drop_table(table_)
+    if _MADE:
+        _MADE[-1].append(out)
+    free_shuffles(out.sparkSession)
+    return out
 
 
 def drop_table(df: DataFrame) -> None:
     """Remove a table made by cut() once nothing reads it any more."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_shuffles(spark: SparkSession) -> None:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, drop_table, free_shuffles, id_text, power_of_two, text_chunks
+from ._common import cut, drop_table, finish, free_shuffles, id_text, power_of_two, text_chunks
 from .components import connected_components
 
 EDITS = 2
@@ -195,7 +195,7 @@ def line_classes(texts: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     free_shuffles(spark)
     # both sides grow with the input, so neither is ever broadcast
     links = rows.join(heads.hint("merge"), "entry").where("line <> head").select(F.col("line").alias("a"), F.col("head").alias("b")).distinct()
-    groups = cut(connected_components(links))
+    groups = finish(lambda: connected_components(links))
     drop_table(rows)
     free_shuffles(spark)
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
@@ -239,8 +239,7 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     """
     texts = id_text(docs, id_col, text_col)
     named = texts.where("doc_id is not null")
-    classes = cut(line_classes(named, edits, min_chars, block))
-    free_shuffles(docs.sparkSession)
+    classes = finish(lambda: line_classes(named, edits, min_chars, block))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts_ in text_chunks(batches):

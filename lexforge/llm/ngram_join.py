@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, drop_table, free_shuffles, id_text, mix64, power_of_two, text_chunks
+from ._common import cut, finish, id_text, mix64, power_of_two, text_chunks
 from .components import connected_components
 
 WORDS = 5
@@ -37,7 +37,7 @@ THRESHOLD = 0.8
 #: MinHash values, bands of them for candidates, and values compared between two looks at the posterior.
 HASHES = 128
 BANDS = 32
-STEP = 32
+STEP = 16
 #: A pair is dropped when the probability that it reaches the threshold is below this.
 TOLERANCE = 1e-7
 #: Classes of a block, and of a task that holds several small groups.
@@ -217,15 +217,13 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
 
 def ngram_join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id, n_links, n_grams: class_id is the smallest id that links lead to."""
-    spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col)
     sketch = cut(sketches(texts, n))
     sets = sketch.where("n_grams > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"))
     sets = cut(sets)
     own = sketch.select("set_key", F.col("doc_id").alias("rep"), "sig")
     classes = sets.join(own, ["set_key", "rep"]).select("rep", "sig")
-    groups = candidate_groups(classes)
-    free_shuffles(spark)
+    groups = finish(lambda: candidate_groups(classes))
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
     total = groups.count()
     tasks = power_of_two(total / TASK_ROWS, 16)

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, drop_table, free_shuffles, id_text, mix64, power_of_two, small_batches, text_bytes, text_chunks
+from ._common import cut, drop_table, finish, free_shuffles, id_text, mix64, power_of_two, small_batches, text_bytes, text_chunks
 
 LENGTH = 100
 #: Bytes of a representative string.
@@ -333,8 +333,7 @@ def repeat_spans(texts: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUN
 
 def span_lists(docs: DataFrame, length: int, hot_runs: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, spans) of the documents that have something to remove."""
-    spans = cut(repeat_spans(id_text(docs, id_col, text_col).where("doc_id is not null"), length, hot_runs))
-    free_shuffles(docs.sparkSession)
+    spans = finish(lambda: repeat_spans(id_text(docs, id_col, text_col).where("doc_id is not null"), length, hot_runs))
     return spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
