@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexforge.llm import exact_dedup, ngram_join, packing, suffix_dedup, toxicity
-from lexforge.llm._common import cut, table
+from lexforge.llm._common import drop_table, finish, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +55,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, finish(lambda: stage(spark, docs, sf_dir))  # noqa: B023
+        if k:
+            drop_table(before)
     return STAGES[-1][1](spark, docs, sf_dir)
