@@ -47,26 +47,21 @@ def content_flags(c: Column) -> dict[str, Column]:
 
 
 def flag_chunks(chunks: DataFrame, min_chars: int = 120, max_tokens: int = 512, tokens: Column | None = None, has_char_len: bool | None = None) -> DataFrame:
-    """chunks with n_chars, n_tokens, scored and one boolean column per check.
+    """chunks with n_chars, n_tokens, scored and one boolean column per check. seq names a row and its place.
 
     Exact copies are nested in near copies, and those in template copies; so a row is a near copy if it is the first of
-    its text but not of its near key, and likewise for templates.
+    its text but not of its near key, and likewise for templates. Repeats are found among keys alone: texts move once
+    at most, to be joined with the flags of the rows that are repeats.
     """
     key_present = "char_len" in chunks.columns if has_char_len is None else has_char_len
     rows = with_columns(chunks).withColumn("content", T.text_or_empty(F.col("content")))
     c = F.col("content")
-    rows = rows.withColumns({"n_chars": F.length(c), "scored": T.strip(c) != "", "n_tokens": T.estimated_tokens(c) if tokens is None else tokens})
-    near = T.near_key(c)
-    rows = rows.withColumn("_near", near).withColumns({"_cid": F.coalesce(F.nullif("chunk_id", F.lit("")), F.concat(F.lit("line"), F.col("seq")))})
-    rows = rows.withColumns({"_h0": F.md5("content"), "_h1": F.md5("_near"), "_h2": F.md5(T.template_key(F.col("_near")))}).drop("_near")
-    first = lambda *keys: F.min(F.when(F.col("scored"), F.col("seq"))).over(Window.partitionBy(*keys))
-    rows = rows.withColumns({"_f0": first("_h0"), "_f1": first("_h1"), "_f2": first("_h2"), "_fc": F.min("seq").over(Window.partitionBy("_cid"))})
-    seq, scored = F.col("seq"), F.col("scored")
+    sized = rows.withColumns({"n_chars": F.length(c), "scored": T.strip(c) != "", "n_tokens": T.estimated_tokens(c) if tokens is None else tokens})
+    scored = F.col("scored")
     blank = lambda name: F.coalesce(T.strip(F.col(name)) == "", F.lit(True))
     part = F.coalesce(F.expr("try_cast(part AS int)"), F.lit(1))
     head = F.left(c, F.length("dieu") + 40)
     flags = {
-        "dup_chunk_id": seq > F.col("_fc"),
         "empty_content": ~scored,
         "char_len_mismatch": ~F.col("char_len").eqNullSafe(F.col("n_chars").cast("long")) if key_present else F.lit(False),
         "over_budget": scored & (F.col("n_tokens") > max_tokens),
@@ -75,11 +70,36 @@ def flag_chunks(chunks: DataFrame, min_chars: int = 120, max_tokens: int = 512,
         "no_link": scored & (F.coalesce("link", F.lit("")) == "") & (F.coalesce("name", F.lit("")) == ""),
         "orphan_part": scored & (part > 1) & ~blank("dieu") & (F.instr(head, F.left(F.col("dieu"), F.lit(24))) == 0),
         "too_short": scored & (F.col("n_chars") < min_chars),
-        "exact_dup": scored & (seq > F.col("_f0")),
-        "near_dup": scored & (seq == F.col("_f0")) & (seq > F.col("_f1")),
-        "template_dup": scored & (seq == F.col("_f1")) & (seq > F.col("_f2")),
     } | {k: scored & v for k, v in content_flags(c).items()}
-    return rows.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()}).drop("_cid", "_h0", "_h1", "_h2", "_f0", "_f1", "_f2", "_fc")
+    flagged = sized.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()})
+    found = repeats(rows)
+    return flagged.join(found, "seq", "left").withColumns({k: F.coalesce(k, F.lit(False)) for k in REPEATS})
+
+
+REPEATS = ("dup_chunk_id", "exact_dup", "near_dup", "template_dup")
+
+
+def repeats(rows: DataFrame) -> DataFrame:
+    """(seq, dup_chunk_id, exact_dup, near_dup, template_dup) of the rows that are any of these.
+
+    The first rows of texts, near keys and templates come from aggregations on top of one another, each over what the
+    last one left; the aggregations combine before they shuffle, so no common text lands in one task.
+    """
+    c = F.col("content")
+    cid = F.coalesce(F.nullif("chunk_id", F.lit("")), F.concat(F.lit("line"), F.col("seq")))
+    ids = rows.select("seq", F.xxhash64(cid).alias("a"), F.md5(cid).alias("b"))
+    ids = ids.join(ids.groupBy("a", "b").agg(F.min("seq").alias("first")), ["a", "b"]).where("seq > first")
+    keys = rows.where(T.strip(c) != "").select("seq", F.md5(c).alias("h0"), T.near_key(c).alias("near"))
+    keys = keys.select("seq", "h0", F.md5("near").alias("h1"), F.md5(T.template_key(F.col("near"))).alias("h2"))
+    texts = keys.groupBy("h0").agg(F.min("seq").alias("f0"), F.first("h1").alias("h1"), F.first("h2").alias("h2"))
+    nears = texts.groupBy("h1").agg(F.min("f0").alias("f1"), F.first("h2").alias("h2"))
+    forms = nears.groupBy("h2").agg(F.min("f1").alias("f2"))
+    exact = keys.select("seq", "h0").join(texts.select("h0", "f0"), "h0").where("seq > f0")
+    near = texts.select("h1", "f0").join(nears.select("h1", "f1"), "h1").where("f0 > f1")
+    template = nears.select("h2", "f1").join(forms, "h2").where("f1 > f2")
+    hit = lambda df, seq, name: df.select(F.col(seq).alias("seq"), *(F.lit(r == name).alias(r) for r in REPEATS))
+    all_ = hit(ids, "seq", "dup_chunk_id").union(hit(exact, "seq", "exact_dup")).union(hit(near, "f0", "near_dup")).union(hit(template, "f1", "template_dup"))
+    return all_.groupBy("seq").agg(*(F.bool_or(r).alias(r) for r in REPEATS))
 
 
 FLAGS = tuple(name for name, _, _ in P.CHECKS if name != "bad_json")
@@ -107,14 +127,19 @@ def findings(flagged: DataFrame, bad_json: int = 0) -> DataFrame:
     return registry(flagged.sparkSession).join(long_, "check").select("check", "severity", "count", share.alias("share"), "meaning", "ord", place.alias("place"))
 
 
-def length_stats(flagged: DataFrame, column: str = "n_chars", prefix: str = "") -> DataFrame:
-    """Nearest-rank percentiles, extremes and mean over the scored rows; zeros without any."""
-    p = lambda q: F.coalesce(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY `{column}`)"), F.lit(0))
+def _statistics(column: str, prefix: str = "") -> list[Column]:
+    """Nearest-rank percentiles, extremes, mean and total of a column, its nulls left out; zeros without any value."""
     zero = F.lit(0)
-    return flagged.where("scored").agg(
+    p = lambda q: F.coalesce(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY `{column}`)"), zero)
+    return [
         F.coalesce(F.min(column), zero).alias(f"{prefix}min"), p(0.25).alias(f"{prefix}p25"), p(0.5).alias(f"{prefix}median"), p(0.75).alias(f"{prefix}p75"), p(0.95).alias(f"{prefix}p95"),
         F.coalesce(F.max(column), zero).alias(f"{prefix}max"), F.coalesce(F.rint(F.avg(column)), F.lit(0.0)).cast("long").alias(f"{prefix}mean"), F.coalesce(F.sum(column), zero).alias(f"{prefix}total"),
-    )
+    ]
+
+
+def length_stats(flagged: DataFrame, column: str = "n_chars", prefix: str = "") -> DataFrame:
+    """Statistics of a column over the scored rows."""
+    return flagged.where("scored").agg(*_statistics(column, prefix))
 
 
 def samples(flagged: DataFrame, per_check: int = 5) -> DataFrame:
@@ -135,11 +160,20 @@ def clean_rows(flagged: DataFrame, drop: tuple[str, ...] | str = "rag") -> DataF
 
 def report(flagged: DataFrame, chunks_file: str = "", bad_json: int = 0, max_tokens: int = 512, kept: int | None = None) -> DataFrame:
     """The audit as one row: counts, structures, statistics, findings and whether the run failed."""
-    counts = flagged.agg(F.count("*").alias("rows_read"), F.count_if("scored").alias("chunks_scored"))
     shapes = flagged.where("scored").groupBy(F.coalesce("structure", F.lit("?")).alias("s")).count().agg(F.map_from_entries(F.collect_list(F.struct("s", "count"))).alias("by_structure"))
-    length = length_stats(flagged).select(F.struct(F.lit("characters").alias("unit"), "min", "p25", "median", "p75", "p95", "max", "mean").alias("length"))
-    tokens = length_stats(flagged, "n_tokens").select(F.struct("median", "p95", "max", "total", F.lit(max_tokens).alias("over_budget_at")).alias("tokens"))
-    found = findings(flagged, bad_json)
-    found = found.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("check", F.struct("severity", "count", "share", "meaning"))))).alias("findings"), (F.sum(F.when(F.col("severity") == "FATAL", F.col("count")).otherwise(0)) > 0).alias("failed"))
-    one = counts.crossJoin(shapes).crossJoin(length).crossJoin(tokens).crossJoin(found)  # one row each
-    return one.select(F.lit(chunks_file).alias("chunks_file"), "rows_read", "chunks_scored", F.lit(kept).cast("long").alias("kept_in_clean_file"), "by_structure", "length", "tokens", "findings", "failed")
+    everything = [F.count("*").alias("rows_read"), F.count_if("scored").alias("chunks_scored"), *_statistics("_chars", "c_"), *_statistics("_tokens", "t_"), *(F.count_if(n).alias(n) for n in FLAGS)]
+    sized = flagged.withColumns({"_chars": F.when(F.col("scored"), F.col("n_chars")), "_tokens": F.when(F.col("scored"), F.col("n_tokens"))})
+    one = sized.agg(*everything).withColumn("bad_json", F.lit(bad_json).cast("long")).crossJoin(shapes)  # one row each
+    share = lambda n: F.bround(F.lit(100.0) * F.col(n) / F.greatest(F.col("chunks_scored"), F.lit(1)), 2)
+    found = F.map_from_entries(F.array(*(F.struct(F.lit(n), F.struct(F.lit(s).alias("severity"), F.col(n).alias("count"), share(n).alias("share"), F.lit(m).alias("meaning"))) for n, s, m in P.CHECKS)))
+    fatal = F.lit(0).cast("long")
+    for n in FATAL:
+        fatal = fatal + F.col(n)
+    length = F.struct(F.lit("characters").alias("unit"), *(F.col(f"c_{k}").alias(k) for k in ("min", "p25", "median", "p75", "p95", "max", "mean")))
+    tokens = F.struct(*(F.col(f"t_{k}").alias(k) for k in ("median", "p95", "max", "total")), F.lit(max_tokens).alias("over_budget_at"))
+    return one.select(F.lit(chunks_file).alias("chunks_file"), "rows_read", "chunks_scored", F.lit(kept).cast("long").alias("kept_in_clean_file"), "by_structure", length.alias("length"), tokens.alias("tokens"), found.alias("findings"), (fatal > 0).alias("failed"))
+
+
+def exit_status(report_: DataFrame) -> int:
+    """1 if a fatal check hit anything, as a command line would end."""
+    return int(report_.first()["failed"])

@@ -130,7 +130,7 @@ def json_line_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document; tested against properties of the splitter."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return splitter.split_text(d).select("doc_id", F.posexplode("pieces").alias("n", "p")).select("doc_id", "n", "p.start", "p.end", "p.cut_by", F.length("p.text").alias("size"))
+    return splitter.split_text(splitter.spread(d)).select("doc_id", F.posexplode("pieces").alias("n", "p")).select("doc_id", "n", "p.start", "p.end", "p.cut_by", F.length("p.text").alias("size"))
 
 
 def training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:

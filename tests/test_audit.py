@@ -1,3 +1,5 @@
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +106,18 @@ def test_fidelity(spark):
     assert (r.containment_checked, r.containment_ok, r.containment_failed) == (3, 3, 0)
     assert [x.doc_id for x in fidelity.missing_documents(docs, chunks).collect()] == ["c"]
     assert [x.doc_id for x in fidelity.thin_documents(docs, chunks).collect()] == ["b"]
+
+
+def test_median_without_a_task_that_sees_all(spark):
+    for values in ([0.5], [0.1, 0.9], [0.25, 0.2501, 0.9], [1.0] * 50 + [0.3], [0.0, 0.0, 2.0, 3.0], [0.1 * i for i in range(41)]):
+        rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+        assert fidelity.exact_median(rows, "x").first().median == statistics.median(values)
+    assert fidelity.exact_median(spark.createDataFrame([], "x double"), "x").first().median is None
+
+
+def test_report_in_one_pass(spark):
+    rows = [(i, f"c{i % 9}", "Cơ quan thực hiện quy định của pháp luật " * 5 + "!" * (i % 3)) for i in range(20)]
+    flagged = audit.flag_chunks(spark.createDataFrame(rows, "seq long, chunk_id string, content string"))
+    r = audit.report(flagged, bad_json=2).first()
+    assert r.rows_read == r.chunks_scored == 20 and r.findings["dup_chunk_id"]["count"] == 11 and r.findings["exact_dup"]["count"] == 17
+    assert r.findings["near_dup"]["count"] == 2 and r.findings["bad_json"]["count"] == 2 and r.failed
