@@ -5,7 +5,6 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 
-import corpus_pipeline
 from lexforge.llm import ann, langid, toxicity
 
 DATA = "/root/testdata/sf0.01"
@@ -190,13 +189,3 @@ def test_odd_vectors(spark):
     twice = df.union(df).union(spark.createDataFrame([(20, [9.0, 0.0])], "vec_id long, embedding array<float>"))  # the smallest vector of an id counts
     assert sorted((r.query_id, r.rank, r.vec_id) for r in ann.nearest_neighbours(twice).collect()) == got
     assert ann.nearest_neighbours(df.limit(0)).collect() == []
-
-
-def test_pipeline_stages(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    at, columns = docs, docs.columns
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        at = stage(spark, at, "/root/testdata/sf0.001").cache()
-        assert at.columns == columns and at.count() > 0, name
-    assert at.groupBy("text").count().where("count > 1 and length(text) > 200").count() == 0
-    assert corpus_pipeline.STAGES[-1][1](spark, at, "/root/testdata/sf0.001").select("doc_id").distinct().count() == at.count()
