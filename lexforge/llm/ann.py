@@ -144,8 +144,8 @@ def search_block(row_ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, q
 
 
 def exact_inner(a: np.ndarray, b: np.ndarray) -> float:
-    """The inner product in double precision, summed in one fixed order."""
-    return float((a * b).sum())
+    """The inner product in double precision, summed from the first component to the last."""
+    return float(np.add.accumulate(a * b)[-1])
 
 
 def valid_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -190,3 +190,12 @@ def nearest_neighbours(df: DataFrame, k: int = 20, query_every: int = 20, id_col
     hits = left.groupBy("d", "rb", "qb").cogroup(right.groupBy("d", "rb", "qb")).applyInArrow(run, HITS)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+ORACLE = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+ok AS (SELECT vec_id, e FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score FROM ok q JOIN ok c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""

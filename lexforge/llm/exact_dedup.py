@@ -108,7 +108,7 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None, id_col: str =
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each distinct text, all columns as they were."""
+    """docs with the row that stays of each distinct text (rows that share id and text are the same row), columns as they were."""
     groups = text_groups(docs, None, id_col, text_col)
     digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     winners = groups.select(F.col("digest").alias("_kept_digest"), F.col("keep_id").alias("_kept_id"))

@@ -15,8 +15,8 @@ class MinimalPerfectHash:
     """Maps n distinct 16-byte keys to 0 … n-1. Other keys get any slot or -1, so answers must be checked.
 
     On each level every key left is hashed to a bit; bits that exactly one key hits belong to that key, the others go
-    on to the next level. A key's slot is the number of set bits before its own. Keys that share a bit on every
-    level (equal 16-byte keys) are listed at the end.
+    on to the next level. A key's slot is the number of set bits before its own. Keys left after the last level are
+    listed; equal keys, which always are, raise an error.
     """
 
     def __init__(self, keys: np.ndarray):

@@ -279,3 +279,15 @@ def ngram_join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, to
     rows = rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_grams")
     none = texts.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).alias("n_grams"))
     return rows.unionByName(none)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], chr(1)))) END AS g FROM w),
+grams AS (SELECT doc_id, unnest(g) AS g FROM sets), shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+pairs AS (SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE n >= 0.8 * (len(x.g) + len(y.g) - n) - 1e-9),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs), reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(low.b, doc_id)) AS class_id, coalesce(n.n, 0) AS n_links, CAST(len(g) AS INT) AS n_grams FROM sets LEFT JOIN low ON low.a = doc_id LEFT JOIN n ON n.a = doc_id
+UNION ALL SELECT doc_id, NULL, 0, 0 FROM documents WHERE doc_id IS NULL
+"""

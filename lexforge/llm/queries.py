@@ -61,4 +61,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE}
+    """Twins of the queries that SQL can say; that of op9 is the exact search, which tables of one small block get too."""
+    return {"op4_exact_dedup": exact_dedup.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op8_suffix_dedup": suffix_dedup.ORACLE, "op9_ann": ann.ORACLE}

@@ -387,3 +387,19 @@ def remove_spans(raw: bytes, found: pa.StructArray | None, length: int) -> tuple
     begin, end = lo[new].tolist(), hi[np.concatenate((new[1:], [len(lo)])) - 1].tolist()
     kept = b"".join(raw[a:b] for a, b in zip([0, *end], [*begin, len(raw)]))
     return kept, len(raw) - len(kept), len(begin)
+
+
+ORACLE = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents WHERE doc_id IS NOT NULL),
+win AS (SELECT doc_id, s, b[s:s + 99] AS x FROM d, LATERAL (SELECT unnest(range(1, octet_length(b) - 98)) AS s)),
+firsts AS (SELECT x, min((doc_id, s)) AS f FROM win GROUP BY x HAVING count(*) > 1),
+hits AS (SELECT win.doc_id, s FROM win JOIN firsts USING (x) WHERE (win.doc_id, s) <> f),
+runs AS (SELECT doc_id, s, sum(CASE WHEN s <= p + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM (SELECT *, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS p FROM hits)),
+spans AS (SELECT doc_id, k, min(s) AS a, max(s) + 100 AS z FROM runs GROUP BY doc_id, k),
+kept AS (SELECT doc_id, a, lag(z, 1, 1) OVER (PARTITION BY doc_id ORDER BY a) AS from_ FROM spans),
+texts AS (SELECT doc_id, string_agg(hex(b[from_:a - 1]), '' ORDER BY a) AS h, max(z) AS z FROM kept JOIN (SELECT doc_id, max(z) AS z FROM spans GROUP BY doc_id) USING (doc_id) JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(CASE WHEN h IS NULL THEN b ELSE unhex(h || hex(b[z:octet_length(b)])) END) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN texts USING (doc_id)
+UNION ALL SELECT doc_id, octet_length(encode(coalesce(text, ''))), 0, 0, sha256(coalesce(text, '')) FROM documents WHERE doc_id IS NULL
+"""
