@@ -23,6 +23,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("n", F.row_number().over(inside)).join(starts, ["file", "block"]).select("file", (F.col("shift") + F.col("n")).alias("line_no"), "line")
 
 
+def count_lines(spark: SparkSession, path: str) -> int:
+    """Lines of the files, for progress and shares, without parsing any."""
+    return spark.read.text(path).count()
+
+
 def parse(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """lines with value (VARIANT, null unless an object) and status: blank, bad_json, not_an_object or ok."""
     v = F.try_parse_json(F.col(line_col))

@@ -15,6 +15,7 @@ def test_jsonl(spark, tmp_path):
 
 def test_many_lines_are_numbered_in_order(spark, tmp_path):
     (tmp_path / "a.txt").write_text("\n".join(f"l{i}" for i in range(1, 2001)))
+    assert jsonl.count_lines(spark, str(tmp_path / "a.txt")) == 2000
     assert jsonl.read_lines(spark, str(tmp_path / "a.txt")).where("line <> concat('l', line_no)").count() == 0
 
 
