@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,35 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the system; workers are kept for later stages."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only where the C library is glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """A function over batches, or over tables, that gives its memory back at its end."""
+
+    def over_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    def over_group(group: pa.Table) -> pa.Table:
+        out = run(group)
+        give_back()
+        return out
+
+    def over_groups(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        give_back()
+        return out
+
+    if inspect.isgeneratorfunction(run):
+        return over_batches
+    return over_group if len(inspect.signature(run).parameters) == 1 else over_groups
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which every executor shares; a local one only in local mode where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -93,6 +125,21 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Keys that hold more than one row in so many are frequent; fewer than so many keys can be.
+FREQUENT = 1_000
+
+
+def join_frequent(rows: DataFrame, keyed: DataFrame, on: list[str], n: str, total: int) -> DataFrame:
+    """rows joined with keyed, which has one row a key and in column n the number of rows with it, out of total.
+
+    Frequent keys, whose number is bounded, are broadcast to where their rows are, so no task gathers the rows of one.
+    """
+    often = F.col(n) * FREQUENT > total
+    few, rest = F.broadcast(keyed.where(often)), keyed.where(~often)
+    common = rows.join(few, on)
+    return common.unionByName(rows.join(F.broadcast(keyed.where(often).select(*on)), on, "left_anti").join(rest, on))
+
+
 def power_of_two(n: float, least: int = 1) -> int:
     return max(least, 1 << max(0, int(np.ceil(np.log2(max(n, 1))))))
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import power_of_two
+from ._common import lean, power_of_two
 from .pieces import gather
 
 #: Rows and queries of one task on average.
@@ -187,7 +187,7 @@ def nearest_neighbours(df: DataFrame, k: int = 20, query_every: int = 20, id_col
 
     # columns of the two sides must not be the same attributes: a cogroup of those loses some
     left, right = (d.select(*(F.col(c).alias(c) for c in d.columns)) for d in (left, right))
-    hits = left.groupBy("d", "rb", "qb").cogroup(right.groupBy("d", "rb", "qb")).applyInArrow(run, HITS)
+    hits = left.groupBy("d", "rb", "qb").cogroup(right.groupBy("d", "rb", "qb")).applyInArrow(lean(run), HITS)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

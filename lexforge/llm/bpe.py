@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import id_text
+from ._common import id_text, lean
 from .pieces import PieceTable, gather
 
 #: Pieces, words and token pairs that a worker remembers. A full cache takes nothing more; it is emptied when it no
@@ -413,4 +413,4 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str | None = None, id_col: str =
                 cols += [pa.ListArray.from_arrays(bounds.astype(np.int32), ids.astype(np.int32)), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(cols)])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), schema)

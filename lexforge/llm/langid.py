@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import held_out, held_out_expr, id_text, text_chunks
+from ._common import held_out, held_out_expr, id_text, lean, text_chunks
 
 #: Bounds on the labelled rows and landmarks of a model.
 MAX_ROWS = 4_000
@@ -163,4 +163,4 @@ def language_id(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", t
             langs, scores = m.predict(texts, mark)
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array([held_out(i) for i in ids], pa.bool_()), "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())})
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, drop_table, finish, free_shuffles, id_text, power_of_two, text_chunks
+from ._common import cut, drop_table, finish, free_shuffles, id_text, join_frequent, lean, power_of_two, text_chunks
 from .components import connected_components
 
 EDITS = 2
@@ -152,7 +152,7 @@ def index_rows(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
                 name += [key] * (len(entry) - len(name))
             yield pa.RecordBatch.from_arrays([pa.array(np.array(entry, np.uint64).view(np.int64)), pa.array(name, pa.int64()), pa.array(asks, pa.int8())], ["entry", "line", "asks"])
 
-    return texts.mapInArrow(run, "entry long, line long, asks byte")
+    return texts.mapInArrow(lean(run), "entry long, line long, asks byte")
 
 
 def join_group(lines: list[tuple[int, str]], edits: int, sides: list[int] | None = None) -> dict[int, int]:
@@ -225,8 +225,8 @@ def line_classes(texts: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
                     c.append(v)
         return pa.table({"line": pa.array(out[0], pa.int64()), "root": pa.array(out[1], pa.int64()), "split": pa.array(out[2], pa.bool_())})
 
-    contents = texts.mapInArrow(split_lines, "line long, content string")
-    found = cut(contents.join(met, "line").groupBy("task").applyInArrow(compare, "line long, root long, split boolean"))
+    contents = texts.mapInArrow(lean(split_lines), "line long, content string")
+    found = cut(contents.join(met, "line").groupBy("task").applyInArrow(lean(compare), "line long, root long, split boolean"))
     free_shuffles(spark)
     wide = connected_components(found.where("split").select(F.col("line").alias("a"), F.col("root").alias("b")))
     return found.where("not split").select("line", F.col("root").alias("class")).union(wide.select("id", "component"))
@@ -252,11 +252,11 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
                         name.append(line_key(x))
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(no, pa.int32()), pa.array(name, pa.int64())], ["doc_id", "no", "line"])
 
-    places = named.mapInArrow(number, "doc_id long, no int, line long").join(classes, "line", "left").select("doc_id", "no", F.coalesce("class", "line").alias("class"))
+    places = named.mapInArrow(lean(number), "doc_id long, no int, line long").join(classes, "line", "left").select("doc_id", "no", F.coalesce("class", "line").alias("class"))
     places = cut(places)
     free_shuffles(docs.sparkSession)
     first = places.groupBy("class").agg(F.min(F.struct("doc_id", "no")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    later = places.join(first, "class").where(F.struct("doc_id", "no") != F.col("head"))
+    later = join_frequent(places, cut(first), ["class"], "n", places.count()).where(F.struct("doc_id", "no") != F.col("head"))
     gone = later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("no", "class"))).alias("gone"))
     schema = "doc_id long, n_lines long, n_removed long, removed_lines array<int>, removed_classes array<long>, kept_sha256 string" + (", text string" if with_text else "")
 
@@ -274,4 +274,4 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
             names = [f.split()[0] for f in schema.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, types)][: len(names)], names)
 
-    return texts.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(run, schema)
+    return texts.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(lean(run), schema)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, finish, id_text, mix64, power_of_two, text_chunks
+from ._common import cut, finish, id_text, join_frequent, lean, mix64, power_of_two, text_chunks
 from .components import connected_components
 
 WORDS = 5
@@ -202,7 +202,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
             sig = dict(zip(full, min_hashes([sets[i] for i in full])))
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "set_key": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), "n_grams": pa.array([len(s) for s in sets], pa.int32()), "sig": pa.array([sig[i].tobytes() if i in sig else None for i in range(len(sets))], pa.binary())})
 
-    return docs.where("doc_id is not null").mapInArrow(run, SKETCH)
+    return docs.where("doc_id is not null").mapInArrow(lean(run), SKETCH)
 
 
 def candidate_groups(classes: DataFrame) -> DataFrame:
@@ -270,13 +270,15 @@ def ngram_join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, to
         types = {"id": pa.int64(), "root": pa.int64(), "links": pa.int64(), "split": pa.bool_()}
         return pa.table({k: pa.array(v, types[k]) for k, v in out.items()})
 
-    found = cut(met.groupBy("task").applyInArrow(compare, "id long, root long, links long, split boolean"))
+    found = cut(met.groupBy("task").applyInArrow(lean(compare), "id long, root long, links long, split boolean"))
     wide = connected_components(found.where("split").select(F.col("id").alias("a"), F.col("root").alias("b")))
     roots = found.where("not split").select("id", "root").union(wide.select("id", "component"))
     links = found.groupBy("id").agg(F.sum("links").alias("links")).join(roots, "id")
-    per_set = sets.join(links.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    rows = sketch.select("doc_id", "set_key", "n_grams").join(per_set, "set_key", "left")
-    rows = rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_grams")
+    per_set = sets.join(links.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", "copies", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    named = sketch.select("doc_id", "set_key", "n_grams")
+    rows = join_frequent(named.where("n_grams > 0"), cut(per_set), ["set_key"], "copies", named.count())
+    rows = rows.select("doc_id", "class_id", F.col("n_links").cast("long").alias("n_links"), "n_grams")
+    rows = rows.unionByName(named.where("n_grams = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "n_grams"))  # texts without words
     none = texts.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).alias("n_grams"))
     return rows.unionByName(none)
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import cut, id_text, power_of_two
+from ._common import cut, id_text, lean, power_of_two
 from .bpe import encoder
 
 #: Pieces of one (length, bucket) group on average at most; groups are ordered inside one task.
@@ -54,7 +54,7 @@ def token_pieces(docs: DataFrame, path: str, size: int, end_id: int, buckets: in
             cols = [b.column(0).take(pa.array(row)), pa.array(bucket[row]), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(sums, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, [f.split()[0] for f in PIECES.split(", ")])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, PIECES)
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), PIECES)
 
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -143,4 +143,4 @@ def best_fit_pack(docs: DataFrame, size: int = 1024, end_id: int = 2, vocabulary
                 bins, offsets = place(b.column(3).to_numpy(), b.column(5).to_numpy(), runs)
                 yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(bins), pa.array(offsets)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(seat, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(lean(seat), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, drop_table, finish, free_shuffles, id_text, mix64, power_of_two, small_batches, text_bytes, text_chunks
+from ._common import cut, drop_table, finish, free_shuffles, id_text, join_frequent, lean, mix64, power_of_two, small_batches, text_bytes, text_chunks
 
 LENGTH = 100
 #: Bytes of a representative string.
@@ -132,7 +132,7 @@ def find_runs(texts: DataFrame, length: int) -> DataFrame:
                     part = np.frombuffer(raws[i], np.uint8, min(SLICE - 1, len(raws[i]) - a), a)
                     yield emit(np.array([ids[i]]), np.array([-a]), part, np.zeros(len(part), np.int64))
 
-    return texts.mapInArrow(run, RUNS)
+    return texts.mapInArrow(lean(run), RUNS)
 
 
 def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -276,7 +276,7 @@ def cut_runs(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 a = e
 
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("h", "lo", "hi")).alias("found"))
-    return texts.join(lists, "doc_id").select("doc_id", "text", "found").mapInArrow(run, "h long, doc_id long, lo int, run binary")
+    return texts.join(lists, "doc_id").select("doc_id", "text", "found").mapInArrow(lean(run), "h long, doc_id long, lo int, run binary")
 
 
 def windows_of(parts: DataFrame, length: int) -> DataFrame:
@@ -294,20 +294,26 @@ def windows_of(parts: DataFrame, length: int) -> DataFrame:
                 found = pa.BinaryArray.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
                 yield pa.RecordBatch.from_arrays([found, pa.array(np.repeat(doc, n)), pa.array((np.repeat(lo, n) + step).astype(np.int32))], ["window", "doc_id", "lo"])
 
-    return parts.mapInArrow(run, "window binary, doc_id long, lo int")
+    return parts.mapInArrow(lean(run), "window binary, doc_id long, lo int")
 
 
 def repeat_spans(texts: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(doc_id, lo, hi): ranges of window starts whose windows have an earlier equal one."""
     spark = texts.sparkSession
     runs = cut(find_runs(texts, length))
-    often = runs.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("n > 1").select("h", (F.col("c1") != F.col("c2")).alias("mixed"))
-    shared = cut(runs.join(often, "h"))
-    drop_table(runs)
+    often = runs.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("n > 1").select("h", "n", (F.col("c1") != F.col("c2")).alias("mixed"))
+    often = cut(often)
+    shared = cut(join_frequent(runs, often, ["h"], "n", runs.count()).drop("n"))
+    for t in (runs, often):
+        drop_table(t)
     free_shuffles(spark)
-    heads = shared.groupBy("h", "c").agg(F.min(F.struct("doc_id", "lo")).alias("head"))
-    placed = cut(shared.join(heads, ["h", "c"]).select("h", "doc_id", "lo", "hi", "mixed", ((F.col("doc_id") == F.col("head.doc_id")) & (F.col("lo") == F.col("head.lo"))).alias("first")))
-    drop_table(shared)
+    heads = cut(shared.groupBy("h", "c").agg(F.min(F.struct("doc_id", "lo")).alias("head"), F.count("*").alias("n")).where("n > 1"))
+    alone = shared.where("mixed").join(heads.select("h", "c"), ["h", "c"], "left_anti").select("h", "doc_id", "lo", "hi", "mixed", F.lit(True).alias("first"))
+    first = (F.col("doc_id") == F.col("head.doc_id")) & (F.col("lo") == F.col("head.lo"))
+    several = join_frequent(shared, heads, ["h", "c"], "n", shared.count()).select("h", "doc_id", "lo", "hi", "mixed", first.alias("first"))
+    placed = cut(several.unionByName(alone))
+    for t in (shared, heads):
+        drop_table(t)
     free_shuffles(spark)
     whole = placed.where("not first").select("doc_id", "lo", "hi")
     open_ = placed.where("first and mixed").select("h", "doc_id", "lo", "hi").distinct()
@@ -324,7 +330,7 @@ def repeat_spans(texts: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUN
         return pa.table({"doc_id": pa.array(doc, pa.int64()), "lo": pa.array(lo.astype(np.int32)), "hi": pa.array(hi.astype(np.int32))})
 
     cool = parts.join(hot, "h", "left_anti").withColumn("task", F.pmod(F.xxhash64("h"), F.lit(tasks)))
-    some = cool.groupBy("task").applyInArrow(merge, SPANS)
+    some = cool.groupBy("task").applyInArrow(lean(merge), SPANS)
     single = windows_of(parts.join(hot, "h", "left_semi"), length)
     first = single.groupBy("window").agg(F.min(F.struct("doc_id", "lo")).alias("head"), F.count("*").alias("n")).where("n > 1")
     rest = single.join(first, "window").where(F.struct("doc_id", "lo") != F.col("head")).select("doc_id", "lo", F.col("lo").alias("hi"))
@@ -351,7 +357,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (*[pa.int64()] * 4, pa.string()))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return id_text(docs, id_col, text_col).join(lists, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return id_text(docs, id_col, text_col).join(lists, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def strip_repeats(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -373,7 +379,7 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUN
             yield pa.RecordBatch.from_arrays(cols, names)
 
     joined = docs.join(lists, docs[id_col].cast("long") == F.col(key), "left").select(*(docs[c] for c in names), spans)
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(lean(run), docs.schema)
 
 
 def remove_spans(raw: bytes, found: pa.StructArray | None, length: int) -> tuple[bytes, int, int]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import id_text, text_chunks
+from ._common import id_text, lean, text_chunks
 from .bpe import byte_symbols, refresh
 
 #: Words and pieces that a worker remembers the counts of.
@@ -158,4 +158,4 @@ def token_counts(docs: DataFrame, limit: int = 2048, vocabulary: str | None = No
             n = count.count_texts(texts)
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()), "n_tokens": pa.array(n, pa.int64()), "over_limit": pa.array([x > limit for x in n], pa.bool_())})
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in a block-max inverted index.
 
-Every word of the labelled rows is a dimension. A word's inverse document frequency is raised by how much it tells of toxic
+Every word of the examples is a dimension. A word's inverse document frequency is raised by how much it tells of toxic
 texts: by the lower end of a confidence interval on the toxic share of the examples that hold it, counted over texts that
 aren't near copies of each other. Beginnings of words that tell stand for words no example holds. Cosines are exact in
 this space. Examples lie in blocks, those with the same frequent word together; each term keeps its largest weight in
@@ -14,7 +14,7 @@ of their ids; at most `max_examples` of them, halved likewise, are the examples.
 votes and the curve weigh them by the shares that the labels have. Labels come only from rows that are not held out; lang, source and doc_id are no inputs of a score. An example with the very words of
 a text (cosine 1) never votes on it, so the label of a text or of a copy of it doesn't enter its score.
 
-Defined results: null text is empty; a text without words of the labelled rows gets the toxic share of the labels; equal
+Defined results: null text is empty; a text without words of the examples gets the toxic share of the labels; equal
 cosines are taken in an order that doesn't know the labels; without labelled rows every score is 0.
 """
 
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import held_out, held_out_expr, id_text, small_batches, text_chunks
+from ._common import held_out, held_out_expr, id_text, lean, small_batches, text_chunks
 from .ngram_join import HASHES, min_hashes
 
 #: The bounds on the labelled rows that words are judged by, and on the examples among them.
@@ -46,7 +46,7 @@ RAISE = 40.0
 #: Lengths of the beginnings of words that can be terms, the longest tried first.
 PREFIXES = (6, 5, 4)
 #: Words whose term a worker remembers.
-WORD_CACHE = 200_000
+WORD_CACHE = 100_000
 #: A document is predicted toxic from this score on.
 THRESHOLD = 0.7
 #: Added to a neighbour's distance before it is inverted.
@@ -110,12 +110,12 @@ class ToxicityModel:
         self.k = k
         self.prior = (float(np.mean(labels)) if labels else 0.0) if toxic_share is None else toxic_share
         group = copy_groups(texts).tolist()
-        self.worth = self.worths(labels)
-        self._choose_terms(texts, labels, group)
         turn = sorted(range(len(ids)), key=lambda i: (xxhash.xxh64_intdigest(str(ids[i])), i))
         each = [[i for i in turn if labels[i] == y] for y in (0, 1)]
         toxic = min(len(each[1]), max(max_examples // 2, max_examples - len(each[0])))
         some = sorted(each[1][:toxic] + each[0][: max_examples - toxic])
+        self.worth = self.worths(labels)
+        self._choose_terms(texts, labels, group, set(some))
         ids, texts, labels, group = ([x[i] for i in some] for x in (ids, texts, labels, group))
         self.n, self.worth = len(ids), self.worths(labels)
         rows = [self.vector(t) for t in texts]
@@ -132,13 +132,14 @@ class ToxicityModel:
         if self.n:
             self._calibrate([rows[i] for i in order])
 
-    def _choose_terms(self, texts: list[str], labels: list[int], group: list[int]) -> None:
-        """All words count, of near copies with the same label one; the words of one text at a time are in memory."""
+    def _choose_terms(self, texts: list[str], labels: list[int], group: list[int], examples: set[int]) -> None:
+        """All words count, of near copies with the same label one; those of the examples are terms."""
         begins = lambda words: {w[:n] + "*" for n in PREFIXES for w in words if len(w) > n}
         seen, vocabulary, df, hits = set(), set(), Counter(), Counter()
-        for t, y, g in zip(texts, labels, group):
+        for i, (t, y, g) in enumerate(zip(texts, labels, group)):
             words = set(words_of(t))
-            vocabulary |= words
+            if i in examples:
+                vocabulary |= words
             if (g, y) not in seen:
                 seen.add((g, y))
                 df.update(words)
@@ -190,7 +191,7 @@ class ToxicityModel:
         return -1 if t is None else t
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights of unit length; empty without words of the labelled rows."""
+        """Term numbers and weights of unit length; empty without words of the examples."""
         words, known = words_of(text), self.known
         if len(known) > WORD_CACHE:
             known.clear()
@@ -211,7 +212,7 @@ class ToxicityModel:
         order = np.lexsort((example, term))
         term, self.post_weight, self.post_example = term[order], weight[order], example[order].astype(np.int32)
         cell = term * self.blocks + self.post_example // BLOCK
-        self.cell_start = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1))
+        self.cell_start = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1)).astype(np.int32)
         most = np.zeros(n_terms * self.blocks)
         np.maximum.at(most, cell, self.post_weight)
         self.block_max = np.nextafter(most.astype(np.float32), np.float32(2)).reshape(n_terms, max(self.blocks, 1) if n_terms else self.blocks)
@@ -223,7 +224,7 @@ class ToxicityModel:
         else:
             first = (terms[:, None] * self.blocks + blocks).reshape(-1)
             last, weights = first + 1, np.repeat(weights, len(blocks))
-        begin = self.cell_start[first]
+        begin = self.cell_start[first].astype(np.int64)
         sizes = self.cell_start[last] - begin
         ends = np.cumsum(sizes)
         at = np.repeat(begin - ends + sizes, sizes)
@@ -299,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_exampl
 
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted and the evidence: the nearest examples with their cosines and labels."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # the words of at most max_rows texts
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the words of at most max_examples texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -310,7 +311,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, threshold: float = TH
             evidence = [[{"doc_id": int(m.ids[e]), "cosine": float(c), "toxic": int(m.labels[e])} for e, c in zip(g[1][:5], g[2][:5])] for g in got]
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array([held_out(i) for i in ids], pa.bool_()), "score": pa.array(scores, pa.float64()), "predicted": pa.array([int(s >= threshold) for s in scores], pa.int32()), "evidence": pa.array(evidence, kind)})
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, toxic: int>>")
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, toxic: int>>")
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
@@ -324,4 +325,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
         for b in batches:
             yield b.filter(pa.array([m.score(t.as_py() or "")[0] < threshold for t in b.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
