@@ -101,10 +101,10 @@ def words(c: Column) -> Column:
 
 
 def shingle_diversity(c: Column, n: int = 8) -> Column:
-    """Distinct n-word shingles over all; 1 for fewer than 4 n words."""
+    """Distinct n-word shingles over all, told apart by 64-bit hashes; 1 for fewer than 4 n words."""
 
     def share(w: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), "\u0001"))
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, n)))
         return F.when(F.size(w) < 4 * n, 1.0).otherwise(let(grams, lambda g: F.size(F.array_distinct(g)) / F.size(g)))
 
     return let(words(c), share)

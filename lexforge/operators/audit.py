@@ -6,6 +6,8 @@ and structure; absent ones count as null. Equal texts meet by a hash, not by the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,10 +32,11 @@ def content_flags(c: Column) -> dict[str, Column]:
     """Checks that look at the text alone."""
     size = F.length(c)
     low = F.lower(c)
-    heading = rf"(?<![{P.LOWER}] )Điều{S}+\p{{Nd}}{{1,3}}{S}*[.:]"
-    letters, upper = F.regexp_count(c, F.lit(r"[\p{L}]")), F.regexp_count(c, F.lit(r"(?=\p{L})\p{IsUppercase}"))
+    heading = rf"Điều(?<![{P.LOWER}] Điều){S}+\p{{Nd}}{{1,3}}{S}*[.:]"
+    count = lambda pattern: size - F.length(F.regexp_replace(c, pattern, ""))
+    letters, upper = count(r"\p{L}++"), count(r"(?:(?=\p{L})\p{IsUppercase})++")
     junk = F.regexp_count(c, F.lit(r"[\p{Nd}.,;:/()\[\]%–—-]"))
-    common = F.size(F.filter(F.array(*map(F.lit, P.COMMON_WORDS)), lambda w: F.contains(low, w)))
+    common = reduce(Column.__add__, (F.contains(low, F.lit(w)).cast("int") for w in P.COMMON_WORDS))
     opening = "|".join(f"\\{m}" if m in ")+-" else m for m in P.FRAGMENT_MARKS)
     return {
         "toc": F.regexp_count(c, F.lit(heading)) >= 4,
@@ -82,24 +85,23 @@ REPEATS = ("dup_chunk_id", "exact_dup", "near_dup", "template_dup")
 def repeats(rows: DataFrame) -> DataFrame:
     """(seq, dup_chunk_id, exact_dup, near_dup, template_dup) of the rows that are any of these.
 
-    The first rows of texts, near keys and templates come from aggregations on top of one another, each over what the
-    last one left; the aggregations combine before they shuffle, so no common text lands in one task.
+    Rows are first reduced to one a text, combined before they are shuffled, so no common text lands in one task; near
+    keys and templates are compared among these.
     """
     c = F.col("content")
     cid = F.coalesce(F.nullif("chunk_id", F.lit("")), F.concat(F.lit("line"), F.col("seq")))
     ids = rows.select("seq", F.xxhash64(cid).alias("a"), F.md5(cid).alias("b"))
     ids = ids.join(ids.groupBy("a", "b").agg(F.min("seq").alias("first")), ["a", "b"]).where("seq > first")
+    ids = ids.select("seq", F.lit(True).alias("dup_chunk_id"), *(F.lit(False).alias(r) for r in REPEATS[1:]))
     keys = rows.where(T.strip(c) != "").select("seq", F.md5(c).alias("h0"), T.near_key(c).alias("near"))
     keys = keys.select("seq", "h0", F.md5("near").alias("h1"), F.md5(T.template_key(F.col("near"))).alias("h2"))
     texts = keys.groupBy("h0").agg(F.min("seq").alias("f0"), F.first("h1").alias("h1"), F.first("h2").alias("h2"))
-    nears = texts.groupBy("h1").agg(F.min("f0").alias("f1"), F.first("h2").alias("h2"))
-    forms = nears.groupBy("h2").agg(F.min("f1").alias("f2"))
-    exact = keys.select("seq", "h0").join(texts.select("h0", "f0"), "h0").where("seq > f0")
-    near = texts.select("h1", "f0").join(nears.select("h1", "f1"), "h1").where("f0 > f1")
-    template = nears.select("h2", "f1").join(forms, "h2").where("f1 > f2")
-    hit = lambda df, seq, name: df.select(F.col(seq).alias("seq"), *(F.lit(r == name).alias(r) for r in REPEATS))
-    all_ = hit(ids, "seq", "dup_chunk_id").union(hit(exact, "seq", "exact_dup")).union(hit(near, "f0", "near_dup")).union(hit(template, "f1", "template_dup"))
-    return all_.groupBy("seq").agg(*(F.bool_or(r).alias(r) for r in REPEATS))
+    least = lambda k: F.min("f0").over(Window.partitionBy(k))
+    texts = texts.withColumn("f1", least("h1")).withColumn("f2", least("h2")).select("h0", "f0", "f1", "f2")
+    seq, f0, f1, f2 = map(F.col, ("seq", "f0", "f1", "f2"))
+    found = keys.select("seq", "h0").join(texts, "h0").select("seq", F.lit(False).alias("dup_chunk_id"), (seq > f0).alias("exact_dup"), ((seq == f0) & (f0 > f1)).alias("near_dup"), ((seq == f1) & (f1 > f2)).alias("template_dup"))
+    found = found.where("exact_dup or near_dup or template_dup")
+    return ids.union(found).groupBy("seq").agg(*(F.bool_or(r).alias(r) for r in REPEATS))
 
 
 FLAGS = tuple(name for name, _, _ in P.CHECKS if name != "bad_json")

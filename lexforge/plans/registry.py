@@ -22,9 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts, over all cores."""
+    return splitter.spread(table(spark, sf_dir, "documents"))
+
+
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as chunks, the source as link, and planted ones that every check hits some of."""
-    d = table(spark, sf_dir, "documents")
+    d = documents(spark, sf_dir)
     one = F.lit(None).cast("string")
     rows = d.select(F.col("doc_id").cast("long").alias("seq"), F.col("doc_id").cast("string").alias("chunk_id"), F.col("doc_id").cast("string").alias("doc_id"), F.col("source").alias("link"), F.lit("").alias("name"), F.col("lang").alias("structure"), F.lit("").alias("dieu"), one.alias("part"), F.lit(None).cast("boolean").alias("title_confident"), F.col("text").alias("content"), F.col("n_chars").cast("long").alias("char_len"))
     return rows.unionByName(planted.planted(spark, sf_dir, planted.AUDIT_ROWS, "part"))
@@ -37,7 +42,7 @@ def bad_lines(spark: SparkSession, sf_dir: str) -> int:
 
 def line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as chunks, numbered from 1."""
-    d = table(spark, sf_dir, "documents")
+    d = documents(spark, sf_dir)
     return d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("_no", "content")).select("doc_id", (F.col("_no") + 1).alias("part"), "content")
 
 
@@ -80,7 +85,7 @@ def link_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = documents(spark, sf_dir)
     return d.select("doc_id", F.md5(T.clean_content(T.normalize_text(F.col("text")))).alias("clean"), F.md5(T.near_key(F.col("text"))).alias("near"), F.md5(T.template_key(T.near_key(F.col("text")))).alias("template"))
 
 
@@ -89,11 +94,11 @@ def document_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fidelity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fidelity.fidelity_report(table(spark, sf_dir, "documents"), line_chunks(spark, sf_dir))
+    return fidelity.fidelity_report(documents(spark, sf_dir), line_chunks(spark, sf_dir))
 
 
 def document_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fidelity.document_fidelity(table(spark, sf_dir, "documents"), line_chunks(spark, sf_dir)).select("doc_id", "source_chars", "chunk_chars", "n_chunks")
+    return fidelity.document_fidelity(documents(spark, sf_dir), line_chunks(spark, sf_dir)).select("doc_id", "source_chars", "chunk_chars", "n_chunks")
 
 
 def boundary_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,8 +134,8 @@ def json_line_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document; tested against properties of the splitter."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return splitter.split_text(splitter.spread(d)).select("doc_id", F.posexplode("pieces").alias("n", "p")).select("doc_id", "n", "p.start", "p.end", "p.cut_by", F.length("p.text").alias("size"))
+    d = documents(spark, sf_dir).select("doc_id", "text")
+    return splitter.split_text(d).select("doc_id", F.posexplode("pieces").alias("n", "p")).select("doc_id", "n", "p.start", "p.end", "p.cut_by", F.length("p.text").alias("size"))
 
 
 def training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
