@@ -125,6 +125,14 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def spread(df: DataFrame, least: int = 1 << 26) -> DataFrame:
+    """Rows of files over all cores, where there are fewer files than cores and little to move; large inputs have splits
+    enough."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < least * cores and len(df.inputFiles()) < cores else df
+
+
 #: Keys that hold more than one row in so many are frequent; fewer than so many keys can be.
 FREQUENT = 1_000
 

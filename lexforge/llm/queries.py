@@ -7,42 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import ann, exact_dedup, langid, line_dedup, ngram_join, packing, suffix_dedup, toxicity
-from ._common import table
+from ._common import spread, table
 from .bpe import bpe_round_trip
 from .token_count import token_counts
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     return toxicity.toxicity_scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_round_trip(table(spark, sf_dir, "documents"))
+    return bpe_round_trip(documents(spark, sf_dir))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit_pack(table(spark, sf_dir, "documents"))
+    return packing.best_fit_pack(documents(spark, sf_dir))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"))
+    return token_counts(documents(spark, sf_dir))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+    return ngram_join.ngram_join(documents(spark, sf_dir))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return line_dedup.line_dedup(documents(spark, sf_dir))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir))
 
 
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +54,7 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     return langid.language_id(docs, langid.fit(docs))
 
 
