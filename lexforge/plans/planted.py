@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def planted(spark: SparkSession, sf_dir: str, sql: str, source: str) -> DataFrame:
     """The rows of a query in the common part of both dialects over one table."""
-    return spark.sql(sql.replace(f"FROM {source}", f"FROM {{{source}}}"), **{source: table(spark, sf_dir, source)})
+    return spark.sql(sql.replace(f"FROM {source}", f"FROM {{{source}}}"), **{source: splitter.spread(table(spark, sf_dir, source))})
 
 
 # --- chunks for the audit ------------------------------------------------------------------------------------------
